@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def with_parts(df: DataFrame, key: str, max_rows: int, spread_by: list[str]) -> DataFrame:
-    """Add PART so that no (key, PART) group much exceeds ``max_rows`` rows.
+    """Add PART (and PARTS, the key's number of parts) so that no (key, PART) group much exceeds ``max_rows`` rows.
 
     Keys are counted with a map-side combine; the few over the limit get
     ceil(count / max_rows) parts and their rows are dealt by a hash of
@@ -19,7 +19,8 @@ def with_parts(df: DataFrame, key: str, max_rows: int, spread_by: list[str]) ->
         df.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_ROWS"))
         .where(F.col("_ROWS") > max_rows)
-        .select(key, F.ceil(F.col("_ROWS") / max_rows).cast("int").alias("_PARTS"))
+        .select(key, F.ceil(F.col("_ROWS") / max_rows).cast("int").alias("PARTS"))
     )
-    dealt = F.pmod(F.xxhash64(*spread_by), F.coalesce("_PARTS", F.lit(1)))
-    return df.join(hot, key, "left").withColumn("PART", dealt.cast("int")).drop("_PARTS")
+    parts = F.coalesce("PARTS", F.lit(1))
+    dealt = F.pmod(F.xxhash64(*spread_by), parts).cast("int")
+    return df.join(hot, key, "left").withColumns({"PART": dealt, "PARTS": parts})

@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _DOCUMENT_FLAGS = ",\n".join(
     f"  CAST(CASE WHEN c_custkey % {n} = 0 THEN 1 ELSE 0 END AS BIGINT) AS FLAG_DOCUMENT_{n}"
@@ -184,10 +186,16 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table as a lazy DataFrame; Catalyst prunes it to what is read."""
     text = VIEWS[name]
     tables = {t: base_table(spark, sf_dir, t) for _, t in _BASE_TABLE.findall(text)}
-    return spark.sql(_BASE_TABLE.sub(r"\1 {\2}", text), **tables)
+    found = spark.sql(_BASE_TABLE.sub(r"\1 {\2}", text), **tables)
+    # The files hold zone-less UTC times: make them instants whatever the session zone.
+    naive = [f.name for f in found.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    return found.withColumns(
+        {c: F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(c)).cast("timestamp") for c in naive}
+    )
 
 
 def with_views(names: list[str], body: str) -> str:
     """DuckDB text: the named derived tables as CTEs in front of ``body``."""
     ctes = [f"f_{n} AS ({VIEWS[n]})" for n in names]
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+    head = "WITH " + ",\n".join(ctes)
+    return head + ("" if body.startswith(",") else "\n") + body

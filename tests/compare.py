@@ -79,7 +79,7 @@ def main() -> int:
         try:
             verdict, n, took = compare(spark, con, name, queries[name], texts.get(name), sf_dir)
         except Exception as e:  # report and go on with the next query
-            verdict, n, took = f"ERROR {type(e).__name__} {str(e)[:1200]}", -1, 0.0
+            verdict, n, took = f"ERROR {type(e).__name__} {str(e)[:700]}", -1, 0.0
         bad += verdict not in ("ok", "rows")
         print(f"{name:28s} {n:7d} {took:6.2f}s {verdict}", flush=True)
     orphan = set(texts) - set(queries)
