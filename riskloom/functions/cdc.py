@@ -13,6 +13,7 @@ _DIGITS = r"\d(?:_?\d)*"
 _NUMBER = rf"^\s*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
 _SPECIAL = r"(?i)^\s*[+-]?(?:inf|infinity|nan)\s*$"
 _INTEGER = r"^-?\d+$"
+_BASE64 = r"^[A-Za-z0-9+/]+={0,2}$"
 
 
 def parse_decimal(value: Column | str) -> Column:
@@ -29,7 +30,9 @@ def decode_decimal(value: Column | str, scale: int) -> Column:
     Exact integers up to eight bytes, which covers DECIMAL(18); up to sixteen bytes
     the two halves are combined as doubles; longer or invalid text gives NULL.
     """
-    digits = F.hex(F.try_to_binary(col(value), F.lit("base64")))
+    text = col(value)
+    padded = text.rlike(_BASE64) & (F.length(text) % 4 == 0)
+    digits = F.hex(F.try_to_binary(F.when(padded, text), F.lit("base64")))
     sign = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
 
     def half(text: Column, to_base: int) -> Column:

@@ -32,10 +32,12 @@ SCORE_FIELDS = ["ext_source_1", "ext_source_2", "ext_source_3"]
 
 
 def numeric_keys(keys: DataFrame, key: str = "sk_id_curr") -> DataFrame:
-    """Keys that are whole numbers, each once, with the number as SK_ID_CURR."""
+    """Keys that are whole numbers, each once: ``key`` as sent and ``customer``, its
+    number. (Spark resolves names without regard to case, so the wire name
+    sk_id_curr cannot stand beside SK_ID_CURR.)"""
     return (
-        keys.select(F.col(key).alias("sk_id_curr"), F.col(key).try_cast("bigint").alias(KEY))
-        .where(F.col(KEY).isNotNull())
+        keys.select(F.col(key).alias("key"), F.col(key).try_cast("bigint").alias("customer"))
+        .where(F.col("customer").isNotNull())
         .distinct()
     )
 
@@ -59,7 +61,7 @@ def enrich_bureau(
     several, numbered ``part`` of ``parts``; together they hold every record.
     """
     wanted = numeric_keys(keys)
-    customers = wanted.select(KEY).distinct()
+    customers = wanted.select(F.col("customer").alias(KEY)).distinct()
     owned = bureau.join(customers, KEY, "left_semi")
     record, month = _record(BUREAU_FIELDS), _record(BALANCE_FIELDS)
     histories = balance.join(owned.select(KEY, RECORD).distinct(), RECORD)
@@ -88,10 +90,11 @@ def enrich_bureau(
     )
     empty_b, empty_h = F.array().cast(f"array<{record_type(bureau)}>"), F.array().cast(f"array<{month_type(balance)}>")
     return (
-        wanted.join(nested, KEY, "left")
+        wanted.withColumnRenamed("customer", KEY)
+        .join(nested, KEY, "left")
         .join(found, KEY, "left")
         .select(
-            "sk_id_curr",
+            F.col("key").alias("sk_id_curr"),
             F.coalesce("PART", F.lit(0)).alias("part"),
             F.coalesce("parts", F.lit(1)).cast("int").alias("parts"),
             F.coalesce("bureau", empty_b).alias("bureau"),
@@ -113,13 +116,13 @@ def month_type(balance: DataFrame) -> str:
 def enrich_warehouse(keys: DataFrame, marts: list[DataFrame]) -> DataFrame:
     """Every mart column for every key, lower-cased, NULL where a mart has no row.
     Marts hold one row per customer, so the joins cannot multiply keys."""
-    out = numeric_keys(keys)
+    out = numeric_keys(keys).withColumnRenamed("customer", KEY)
     names: list[str] = []
     for mart in marts:
         columns = [c for c in mart.columns if c.lower() != KEY.lower()]
         out = out.join(mart, KEY, "left")
         names += columns
-    return out.select("sk_id_curr", F.unix_timestamp().cast("double").alias("ts"), *[F.col(c).alias(c.lower()) for c in names])
+    return out.select(F.col("key").alias("sk_id_curr"), F.unix_timestamp().cast("double").alias("ts"), *[F.col(c).alias(c.lower()) for c in names])
 
 
 def flatten_to_schema(df: DataFrame, expected: list[str]) -> DataFrame:

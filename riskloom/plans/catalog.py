@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.plans import marts, oracle_marts, oracle_reports, oracle_streams, reports, streams
+from riskloom.plans import learning, marts, oracle_learning, oracle_marts, oracle_reports, oracle_streams, reports, streams
 from riskloom.plans.tidy import tidy
 
-_MODULES = [marts, reports, streams]
-_ORACLES = [oracle_marts.MARTS, oracle_reports.REPORTS, oracle_streams.STREAMS]
+_MODULES = [marts, reports, streams, learning]
+_ORACLES = [oracle_marts.MARTS, oracle_reports.REPORTS, oracle_streams.STREAMS, oracle_learning.LEARNING]
 
 Query = Callable[[SparkSession, str], DataFrame]
 

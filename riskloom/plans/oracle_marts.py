@@ -8,9 +8,9 @@ D, I, S = "d", "i", "s"
 
 
 def typed(kind: str, expression: str, name: str) -> str:
-    """One output column: doubles rounded, integers as BIGINT, text as is."""
+    """One output column: doubles rounded as in ``tidy``, integers as BIGINT."""
     if kind == D:
-        return f"round(CAST({expression} AS DOUBLE), 6) + 0.0 AS {name}"
+        return f"round(CAST({expression} AS DOUBLE) + 1e-10, 6) + 0.0 AS {name}"
     if kind == I:
         return f"CAST({expression} AS BIGINT) AS {name}"
     return f"{expression} AS {name}"

@@ -105,11 +105,11 @@ _ONLINE_VIEWS = ["source_arrivals", "application_train"]
 
 # Sessions straight from the raw arrivals, without time slots.
 _SESSIONS = """, g AS (
-  SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY sk_id_curr ORDER BY ts) <= 86400 * 1000000
+  SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY sk_id_curr ORDER BY ts) <= 86400000000
     THEN 0 ELSE 1 END AS fresh FROM f_source_arrivals),
 s AS (SELECT *, sum(fresh) OVER (PARTITION BY sk_id_curr ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM g),
-first_seen AS (SELECT sk_id_curr, session, source, min(epoch_us(ts)) AS at FROM s GROUP BY ALL),
-done AS (SELECT sk_id_curr, session, max(at) AS at, arg_max(source, at) AS source FROM first_seen
+first_seen AS (SELECT sk_id_curr, session, source, min(epoch_us(ts)) AS seen FROM s GROUP BY ALL),
+done AS (SELECT sk_id_curr, session, max(seen) AS seen, arg_max(source, seen) AS source FROM first_seen
   GROUP BY ALL HAVING count(*) = 3)
 """
 
@@ -271,12 +271,12 @@ FROM online WHERE coalesce(a, e, d) IS NOT NULL""",
         """SELECT id, status, epoch_us(created_at) AS "at", created_by FROM f_status_log
 WHERE sk_id_curr = (SELECT sk_id_curr FROM f_status_log ORDER BY created_at DESC, id DESC LIMIT 1)""",
     ),
-    "feature_ready": with_views(["source_arrivals"], _SESSIONS + 'SELECT sk_id_curr, source, at AS "at" FROM done'),
+    "feature_ready": with_views(["source_arrivals"], _SESSIONS + 'SELECT sk_id_curr, source, seen AS "at" FROM done'),
     "feature_ready_every_write": with_views(
         ["source_arrivals"],
         _SESSIONS
         + """SELECT s.sk_id_curr, s.source, epoch_us(s.ts) AS "at" FROM s JOIN done USING (sk_id_curr, session)
-WHERE epoch_us(s.ts) >= done.at""",
+WHERE epoch_us(s.ts) >= done.seen""",
     ),
     "stream_feature_ready": with_views(
         ["source_arrivals"],
