@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.numeric import clean_infinite, col, ratio
-from riskloom.operators.quantiles import as_row, exact_quantiles
+from riskloom.operators.quantiles import as_row, attach, exact_quantiles
 from riskloom.session import materialise
 
 KEY = "SK_ID_CURR"
@@ -111,7 +111,7 @@ def clip_bounds(df: DataFrame, columns: list[str], low: float = 0.001, high: flo
 
 def clip(df: DataFrame, bounds: DataFrame, columns: list[str]) -> DataFrame:
     """Limit values to the fitted bounds; NULL stays NULL."""
-    fitted = as_row(bounds, columns, ["lower", "upper"])
+    df, fitted = attach(df, as_row(bounds, columns, ["lower", "upper"])), F.col("_fitted")
 
     def limited(c: str) -> Column:
         value = col(c).cast("double")
@@ -119,7 +119,7 @@ def clip(df: DataFrame, bounds: DataFrame, columns: list[str]) -> DataFrame:
             F.greatest(fitted[c]["lower"], F.least(fitted[c]["upper"], value))
         )
 
-    return df.withColumns({c: limited(c) for c in columns})
+    return df.withColumns({c: limited(c) for c in columns}).drop("_fitted")
 
 
 def modes(df: DataFrame, columns: list[str]) -> Column:
@@ -140,12 +140,12 @@ def impute(df: DataFrame, fitted_on: DataFrame, numeric: list[str], categorical:
     by_median = [c for c in numeric if c not in zero]
     filled = {c: F.coalesce(col(c).cast("double"), F.lit(0.0)) for c in zero}
     if by_median:
-        middle = as_row(exact_quantiles(fitted_on, by_median, [0.5]), by_median, ["q0"])
-        filled |= {c: F.coalesce(col(c).cast("double"), middle[c]["q0"]) for c in by_median}
+        df = attach(df, as_row(exact_quantiles(fitted_on, by_median, [0.5]), by_median, ["q0"]), "_medians")
+        filled |= {c: F.coalesce(col(c).cast("double"), F.col("_medians")[c]["q0"]) for c in by_median}
     if categorical:
-        common = modes(fitted_on, categorical)
-        filled |= {c: F.coalesce(col(c), common[c]["mode"]) for c in categorical}
-    return df.withColumns(filled)
+        df = attach(df, modes(fitted_on, categorical), "_modes")
+        filled |= {c: F.coalesce(col(c), F.col("_modes")[c]["mode"]) for c in categorical}
+    return df.withColumns(filled).drop("_medians", "_modes")
 
 
 def smart_fill(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -154,16 +154,17 @@ def smart_fill(df: DataFrame, columns: list[str]) -> DataFrame:
     ``NEW_CUSTOMER`` for risk segments, 0 for the rest."""
     counts = [c for c in columns if any(w in c for w in ("COUNT", "FLAG", "TOTAL"))]
     rates = [c for c in columns if c not in counts and any(w in c for w in ("RATE", "RATIO", "MEAN"))]
-    middle = as_row(exact_quantiles(df, rates, [0.5]), rates, ["q0"]) if rates else None
+    if rates:
+        df = attach(df, as_row(exact_quantiles(df, rates, [0.5]), rates, ["q0"]), "_medians")
     filled = {}
     for c in columns:
         if c in rates:
-            filled[c] = F.coalesce(col(c).cast("double"), middle[c]["q0"], F.lit(0.0))
+            filled[c] = F.coalesce(col(c).cast("double"), F.col("_medians")[c]["q0"], F.lit(0.0))
         elif "RISK_SEGMENT" in c:
             filled[c] = F.coalesce(col(c), F.lit("NEW_CUSTOMER"))
         else:
             filled[c] = F.coalesce(col(c), F.lit(0).cast(df.schema[c].dataType))
-    return df.withColumns(filled)
+    return df.withColumns(filled).drop("_medians")
 
 
 def join_and_fill(base: DataFrame, features: DataFrame) -> DataFrame:

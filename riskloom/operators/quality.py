@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.numeric import col, ratio
-from riskloom.operators.quantiles import as_row, exact_quantiles
+from riskloom.operators.quantiles import as_row, attach, exact_quantiles
 from riskloom.operators.ranking import ks_statistic
 
 
+# Columns profiled in one aggregate; more make generated code and planning slow.
+_PER_PASS = 40
+
+
 @dataclass(frozen=True)
 class Check:
     """A row-level test: ``failing`` marks the offending rows of ``column``."""
@@ -65,21 +70,25 @@ def unique(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _entries(df: DataFrame, columns: list[str], value, keep: list[str] = ()) -> DataFrame:
+    """Long form: one row per (row, column) with ``name`` and ``value(column)``. Many
+    columns then share one small aggregate, combined before the shuffle, instead of
+    one huge aggregate whose code no longer compiles."""
+    entry = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), value(c).alias("value")) for c in columns]))
+    return df.select(*keep, entry.alias("e")).select(*keep, "e.name", "e.value")
+
+
 def missing_summary(df: DataFrame) -> DataFrame:
     """NULL count and share of every column, most missing first."""
-    n = F.count(F.lit(1))
-    counts = df.agg(
-        *[
-            F.struct(
-                F.count_if(col(c).isNull()).alias("missing_count"),
-                F.round(ratio(F.count_if(col(c).isNull()), n), 4).alias("missing_proportion"),
-            ).alias(c)
-            for c in df.columns
-        ]
+    absent = _entries(df, df.columns, lambda c: col(c).isNull())
+    return (
+        absent.groupBy(F.col("name").alias("column_name"))
+        .agg(
+            F.count_if("value").alias("missing_count"),
+            F.round(ratio(F.count_if("value"), F.count(F.lit(1))), 4).alias("missing_proportion"),
+        )
+        .orderBy(F.col("missing_proportion").desc(), "column_name")
     )
-    return _long(
-        counts, "column_name", [(c, [F.col(f"{c}.missing_count"), F.col(f"{c}.missing_proportion")]) for c in df.columns]
-    ).orderBy(F.col("missing_proportion").desc(), "column_name")
 
 
 def double_columns(df: DataFrame, exclude: list[str] = ()) -> list[str]:
@@ -115,8 +124,10 @@ def distribution(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def coverage(df: DataFrame, columns: list[str]) -> DataFrame:
     """Percentage of rows with a value, per column."""
-    row = df.agg(*[(F.avg(col(c).isNotNull().cast("int")) * 100).alias(c) for c in columns])
-    return _long(row, "feature", [(c, [F.col(c).alias("coverage")]) for c in columns])
+    present = _entries(df, columns, lambda c: col(c).isNotNull())
+    return present.groupBy(F.col("name").alias("feature")).agg(
+        (F.avg(F.col("value").cast("int")) * 100).alias("coverage")
+    )
 
 
 def target_correlation(df: DataFrame, target: str, key: str) -> DataFrame:
@@ -125,17 +136,25 @@ def target_correlation(df: DataFrame, target: str, key: str) -> DataFrame:
     columns = [
         f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in (key, target)
     ]
-    row = df.agg(
-        *[
-            F.struct(
-                F.corr(target, c).alias("raw_correlation"), F.avg(col(c).isNull().cast("int")).alias("missing_rate")
-            ).alias(c)
-            for c in columns
+    if len(columns) > _PER_PASS:  # each pass reads only its own columns
+        kept = [c for c in (key, target) if c in df.columns]
+        parts = [
+            target_correlation(df.select(*kept, *columns[i : i + _PER_PASS]), target, key)
+            for i in range(0, len(columns), _PER_PASS)
         ]
-    )
+        return reduce(DataFrame.unionByName, parts).orderBy(F.col("correlation").desc(), "feature")
+    y = F.col("_y")
+    x = F.when(y.isNotNull(), F.col("value"))
+    both = F.when(F.col("value").isNotNull(), y)
     raw = F.col("raw_correlation")
+    long = _entries(df.withColumn("_y", col(target).cast("double")), columns, lambda c: col(c).cast("double"), ["_y"])
     return (
-        _long(row, "feature", [(c, [F.col(f"{c}.raw_correlation"), F.col(f"{c}.missing_rate")]) for c in columns])
+        long.groupBy(F.col("name").alias("feature"))
+        .agg(
+            # corr() raises for a constant column under ANSI rules; this gives NULL
+            ratio(F.covar_pop(both, x), F.stddev_pop(x) * F.stddev_pop(both)).alias("raw_correlation"),
+            F.avg(F.col("value").isNull().cast("int")).alias("missing_rate"),
+        )
         .where(raw.isNotNull() & ~F.isnan(raw))
         .select("feature", F.abs(raw).alias("correlation"), raw, "missing_rate")
         .orderBy(F.col("correlation").desc(), "feature")
@@ -191,14 +210,15 @@ def grouped_missing(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     rates = df.agg(*[F.avg(col(cs[0]).isNull().cast("int")).alias(base) for base, cs in groups.items()]).first()
     averages = {base: next((c for c in cs if "_AVG" in c), None) for base, cs in groups.items()}
     filled = [averages[b] for b in groups if averages[b] and not (rates[b] is not None and rates[b] >= threshold)]
-    middle = as_row(exact_quantiles(df, filled, [0.5]), filled, ["q0"]) if filled else None
+    if filled:
+        df = attach(df, as_row(exact_quantiles(df, filled, [0.5]), filled, ["q0"]), "_medians")
     added = {}
     for base, cs in groups.items():
         if rates[base] is not None and rates[base] >= threshold:
             added[f"{base}_AVAILABLE"] = col(cs[0]).isNotNull().cast("int")
         elif averages[base]:
-            added[f"{base}_CONSOLIDATED"] = F.coalesce(col(averages[base]), middle[averages[base]]["q0"])
-    return df.withColumns(added)
+            added[f"{base}_CONSOLIDATED"] = F.coalesce(col(averages[base]), F.col("_medians")[averages[base]]["q0"])
+    return df.withColumns(added).drop("_medians")
 
 
 def psi(baseline: DataFrame, current: DataFrame, column: str, bins: int = 10, floor: float = 1e-4) -> DataFrame:
@@ -210,8 +230,8 @@ def psi(baseline: DataFrame, current: DataFrame, column: str, bins: int = 10, fl
         current.select(col(column).alias("v"), F.lit(0).alias("b"), F.lit(1).alias("c"))
     )
     binned = (
-        both.where("v IS NOT NULL")
-        .groupBy(F.size(F.filter(edges, lambda e: e < F.col("v"))).alias("bin"))
+        attach(both.where("v IS NOT NULL"), edges, "edges")
+        .groupBy(F.size(F.filter("edges", lambda e: e < F.col("v"))).alias("bin"))
         .agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
     )
     totals = binned.agg(F.sum("b").alias("b"), F.sum("c").alias("c")).select(F.struct("b", "c")).scalar()

@@ -9,8 +9,6 @@ sketch's error: a rank that falls outside its band raises instead of guessing.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,11 +42,11 @@ def exact_quantiles(
     sketch = numeric.agg(
         *[F.percentile_approx(c, edges, _ACCURACY).alias(f"b{i}") for i, c in enumerate(columns)]
     ).select(F.struct("*").alias("bands"))
-    bands = sketch.scalar()
+    numeric = attach(numeric, sketch.scalar(), "_bands")
 
     def located(i: int, name: str) -> Column:
         """(column, zone, value): value only inside a band, else the zone between."""
-        value, cut = F.col(name), bands.getField(f"b{i}")
+        value, cut = F.col(name), F.col("_bands").getField(f"b{i}")
         zone = F.lit(len(wanted))
         inside = F.lit(None).cast("double")
         for k in reversed(range(len(wanted))):
@@ -103,11 +101,7 @@ def as_row(quantiles: DataFrame, columns: list[str], fields: list[str]) -> Colum
     return picked.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("fitted")).scalar()
 
 
-def medians(df: DataFrame, columns: list[str]) -> Column:
-    """Scalar subquery with the exact median of each column under its name."""
-    found = as_row(exact_quantiles(df, columns, [0.5]), columns, ["q0"])
-    return found
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+def attach(df: DataFrame, fitted: Column, name: str = "_fitted") -> DataFrame:
+    """Put a scalar subquery in a column. Used many times over, the subquery itself
+    would be planned once per use."""
+    return df.select("*", fitted.alias(name))
