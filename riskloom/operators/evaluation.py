@@ -42,9 +42,9 @@ def classification_report(df: DataFrame, label: str, score: str, threshold: floa
     for name, (right, wrong, missed) in classes.items():
         p, r = part(right, right + wrong), part(right, right + missed)
         scored[name] = (p, r, part(2 * p * r, p + r), right + missed)
-    total = tp + fp + fn + tn
+    total, per_class = tp + fp + fn + tn, list(scored.values())
     for name, how in (("macro avg", lambda s: F.lit(0.5)), ("weighted avg", lambda s: ratio(s, total))):
-        parts = [[v[i] * how(v[3]) for v in scored.values()] for i in range(3)]
+        parts = [[v[i] * how(v[3]) for v in per_class] for i in range(3)]
         scored[name] = (*[reduce(lambda a, b: a + b, p) for p in parts], total)
     for name, (p, r, f1, n) in scored.items():
         rows.append(
