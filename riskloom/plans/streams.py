@@ -439,7 +439,8 @@ def stream_bureau_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_feature_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys announced by the stateful job, one file of arrivals per micro-batch."""
-    for name, value in readiness.STATE_STORE.items():
+    before = {name: spark.conf.get(name, None) for name in readiness.SETTINGS}
+    for name, value in readiness.SETTINGS.items():
         spark.conf.set(name, value)
     root = fresh_path(spark, "stream-ready")
     arrivals = view(spark, sf_dir, "source_arrivals").select("sk_id_curr", "source", "ts")
@@ -453,6 +454,8 @@ def stream_feature_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
         .start(f"{root}/out")
     )
     query.awaitTermination()
+    for name, value in before.items():
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
     return spark.read.schema(readiness.OUTPUT).parquet(f"{root}/out").select("sk_id_curr")
 
 

@@ -63,8 +63,12 @@ def ready_events(arrivals: DataFrame, ttl_seconds: int, every_write: bool = Fals
     )
 
 
-STATE_STORE = {
+# Session settings of the job. A processing-time state operator asks for another empty
+# micro-batch after every one, so a run over available data would never end; expired
+# state is dropped when its key is next read, so empty batches are not needed.
+SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    )
+    ),
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
