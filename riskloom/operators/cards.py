@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.numeric import col, ratio, share, stats
+from riskloom.operators.skew import aggregate_with_distinct
 
 KEY = "SK_ID_CURR"
 
@@ -18,9 +19,8 @@ def card_features(cards: DataFrame) -> DataFrame:
     dpd, drawn = col("SK_DPD"), col("AMT_DRAWINGS_CURRENT")
     used = ratio(balance, limit)
     over = {level: (limit > 0) & (used > level) for level in (0.8, 1.0)}
-    return cards.groupBy(KEY).agg(
+    plain = [
         F.count(F.lit(1)).alias("CC_MONTHS_COUNT"),
-        F.count_distinct("SK_ID_PREV").alias("CC_CARDS_COUNT"),
         *stats("CC_UTILIZATION", used, "MEAN", "MAX", "STD"),
         F.count_if(over[0.8]).alias("CC_HIGH_UTIL_MONTHS"),
         F.count_if(over[1.0]).alias("CC_OVER_LIMIT_MONTHS"),
@@ -54,7 +54,8 @@ def card_features(cards: DataFrame) -> DataFrame:
         *stats("CC_LIMIT", limit, "MEAN", "MAX"),
         *stats("CC_BALANCE", balance, "MEAN", "MAX"),
         ratio(F.max(balance), F.max(limit)).alias("CC_MAX_UTIL_EVER"),
-    )
+    ]
+    return aggregate_with_distinct(cards, KEY, plain, {"CC_CARDS_COUNT": "SK_ID_PREV"})
 
 
 def numeric_columns(df: DataFrame, exclude: list[str]) -> list[str]:

@@ -67,7 +67,10 @@ def parse_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     """``op`` and ``row`` (after, or before for a delete) of each message, parsed
     once; ``bad`` marks a message that is no envelope."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = messages.select("*", F.from_json(F.col(value).cast("string"), ENVELOPE, options).alias("_m"))
+    # Through explode, so that filters on the result are not pushed below the parser,
+    # where each of their terms would parse the text again.
+    once = F.array(F.from_json(F.col(value).cast("string"), ENVELOPE, options))
+    parsed = messages.select("*", F.explode(once).alias("_m"))
     payload = F.col("_m.payload")
     return parsed.select(
         *messages.columns,

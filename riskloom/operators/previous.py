@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.numeric import col, ratio, share, stats, to_double, to_long
-from riskloom.operators.skew import with_parts
+from riskloom.operators.skew import aggregate_with_distinct, with_parts
 
 KEY = "SK_ID_CURR"
 LOAN = "SK_ID_PREV"
@@ -57,15 +57,19 @@ def previous_features(previous: DataFrame) -> DataFrame:
     def counts(source: Column, names: dict[str, str]) -> list[Column]:
         return [F.count_if(source == value).alias(f"PREV_{name}_COUNT") for name, value in names.items()]
 
-    def variety(names: dict[str, str]) -> list[Column]:
-        return [F.count_distinct(c).alias(f"PREV_{name}_DIVERSITY") for name, c in names.items()]
-
     def share_of(name: str, condition: Column) -> Column:
         return share(condition).alias(f"PREV_{name}")
 
-    return previous_base(previous).groupBy(KEY).agg(
+    distinct = {
+        "PREV_UNIQUE_APP_COUNT": LOAN,
+        "PREV_PORTFOLIO_DIVERSITY": "NAME_PORTFOLIO",
+        "PREV_CHANNEL_DIVERSITY": "CHANNEL_TYPE",
+        "PREV_PAYMENT_TYPE_DIVERSITY": "NAME_PAYMENT_TYPE",
+        "PREV_GOODS_DIVERSITY": "NAME_GOODS_CATEGORY",
+        "PREV_PURPOSE_DIVERSITY": "NAME_CASH_LOAN_PURPOSE",
+    }
+    plain = [
         F.count(F.lit(1)).alias("PREV_APP_COUNT"),
-        F.count_distinct(LOAN).alias("PREV_UNIQUE_APP_COUNT"),
         *counts(status, {"APPROVED": "Approved", "REFUSED": "Refused", "CANCELED": "Canceled"}),
         share_of("APPROVAL_RATE", approved),
         share_of("REFUSAL_RATE", status == "Refused"),
@@ -94,14 +98,11 @@ def previous_features(previous: DataFrame) -> DataFrame:
         ],
         *counts(kind, {f"{n.upper()}_LOAN": f"{n} loans" for n in ("Cash", "Consumer", "Revolving")}),
         share_of("CASH_LOAN_RATIO", kind == "Cash loans"),
-        *variety({"PORTFOLIO": "NAME_PORTFOLIO"}),
         *counts(portfolio, {f"{n.upper()}_PORTFOLIO": n for n in ("Cash", "POS", "Cards")}),
         share_of("CASH_PORTFOLIO_RATIO", portfolio == "Cash"),
         *counts(col("NAME_CLIENT_TYPE"), {"REPEATER_APP": "Repeater", "NEW_CLIENT_APP": "New"}),
         share_of("REPEATER_RATIO", col("NAME_CLIENT_TYPE") == "Repeater"),
-        *variety({"CHANNEL": "CHANNEL_TYPE", "PAYMENT_TYPE": "NAME_PAYMENT_TYPE"}),
         *counts(col("NAME_PAYMENT_TYPE"), {"BANK_PAYMENT": "Cash through the bank"}),
-        *variety({"GOODS": "NAME_GOODS_CATEGORY", "PURPOSE": "NAME_CASH_LOAN_PURPOSE"}),
         F.count_if(col("NFLAG_LAST_APPL_IN_DAY") == 0).alias("PREV_MULTIPLE_SAME_DAY_COUNT"),
         F.avg("NFLAG_INSURED_ON_APPROVAL").alias("PREV_INSURANCE_RATIO"),
         *counts(
@@ -111,7 +112,8 @@ def previous_features(previous: DataFrame) -> DataFrame:
         *stats("PREV_PAYMENT_TERMS", "CNT_PAYMENT", "MEAN", "MAX", "MIN", "STD"),
         *stats("PREV_GOODS_PRICE", "AMT_GOODS_PRICE", "MEAN", "MAX"),
         F.avg(ratio("AMT_GOODS_PRICE", credit)).alias("PREV_GOODS_TO_CREDIT_RATIO"),
-    )
+    ]
+    return aggregate_with_distinct(previous_base(previous), KEY, plain, distinct)
 
 
 def linkage_features(previous: DataFrame, max_ids: int = 100_000) -> DataFrame:

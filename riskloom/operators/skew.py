@@ -1,8 +1,8 @@
-"""Splitting of hot keys."""
+"""Plan shapes for wide aggregates and hot keys."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,3 +24,17 @@ def with_parts(df: DataFrame, key: str, max_rows: int, spread_by: list[str]) ->
     parts = F.coalesce("PARTS", F.lit(1))
     dealt = F.pmod(F.xxhash64(*spread_by), parts).cast("int")
     return df.join(hot, key, "left").withColumns({"PART": dealt, "PARTS": parts})
+
+
+def aggregate_with_distinct(df: DataFrame, key: str, aggregates: list[Column], distinct: dict[str, str]) -> DataFrame:
+    """Plain aggregates and distinct counts (name -> column) per key, computed apart
+    and joined.
+
+    In one aggregate every distinct count would push a copy of each row through the
+    whole wide buffer. Apart, the wide side combines before its shuffle and the
+    distinct side moves only (key, value) pairs; both end hash-partitioned by the key,
+    so the join adds no shuffle.
+    """
+    plain = df.groupBy(key).agg(*aggregates)
+    kinds = df.groupBy(F.col(key).alias("_key")).agg(*[F.count_distinct(c).alias(n) for n, c in distinct.items()])
+    return plain.join(kinds, plain[key].eqNullSafe(kinds["_key"])).drop("_key")
