@@ -12,8 +12,9 @@ def with_parts(df: DataFrame, key: str, max_rows: int, spread_by: list[str]) ->
     Keys are counted with a map-side combine; the few over the limit get
     ceil(count / max_rows) parts and their rows are dealt by a hash of
     ``spread_by`` (which should identify a row). All other keys get PART 0. Only
-    the over-limit keys are joined back, so ordinary keys never shuffle for it
-    unless Spark finds that list too large to broadcast.
+    the over-limit keys are joined back: at most one per ``max_rows`` rows of ``df``,
+    which Spark broadcasts when its measured size allows, and otherwise joins by
+    shuffle with its skew handling.
     """
     hot = (
         df.groupBy(key)
