@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskloom.llm.common import held_out
+from riskloom.llm.language_id import fit, identify
+from riskloom.llm.minhash import near_duplicates
 from riskloom.llm.suffix_dedup import remove_repeats
 
 
@@ -15,5 +18,16 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), length=100, keep=False)
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup,)}
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents")).drop("_u", "_first")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    net = fit(docs, ~held_out("doc_id", 4))
+    rows = docs.select("doc_id", "text", held_out("doc_id", 4).alias("held_out"))
+    return identify(rows, net, ["doc_id", "held_out"])
+
+
+QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op5_minhash_near_dedup, op10_language_id)}
 ORACLES: dict[str, str] = {}
