@@ -216,8 +216,7 @@ def closed(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, at_least: float = 0.8, weighting: str = "set", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``id_col``, class_id (smallest id of the class), class_size and n_links (verified links
-    of the document's text to other texts, as far as they were needed) of every document,
-    with ``_u`` and ``_first``, the row's and its class's first row's order."""
+    of the document's text to other texts, as far as they were needed) of every document."""
     table, plain = keyed(docs, id_col, text_col)
     texts = table.select(F.col("_u").alias("u"), text_bytes(text_col).alias("body"))
     sketch = materialise(texts.mapInArrow(_sketch(bands, rows, words, weighting), "u long, words binary, bands array<long>"), "sketch")
@@ -252,10 +251,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = placed.join(sizes, "_first")
     if plain:
         kind = docs.schema[id_col].dataType
-        return found.select(F.col("_u").cast(kind).alias(id_col), F.col("_first").cast(kind).alias("class_id"), "class_size", "n_links", "_u", "_first")
+        return found.select(F.col("_u").cast(kind).alias(id_col), F.col("_first").cast(kind).alias("class_id"), "class_size", "n_links")
     ids = table.select("_u", id_col)
     out = ids.join(found, "_u")
-    return out.join(ids.select(F.col("_u").alias("_first"), F.col(id_col).alias("class_id")), "_first").select(id_col, "class_id", "class_size", "n_links", "_u", "_first")
+    return out.join(ids.select(F.col("_u").alias("_first"), F.col(id_col).alias("class_id")), "_first").select(id_col, "class_id", "class_size", "n_links")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, at_least: float) -> DataFrame:

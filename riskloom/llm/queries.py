@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from riskloom.llm.bpe import tokenize
 from riskloom.llm.common import held_out
+from riskloom.llm.decontaminate import decontaminate
 from riskloom.llm.language_id import fit, identify
 from riskloom.llm.minhash import near_duplicates
 from riskloom.llm.suffix_dedup import remove_repeats
@@ -18,8 +21,16 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), length=100, keep=False)
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenize(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ["doc_id"], ids=False)
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents")).drop("_u", "_first")
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +40,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(rows, net, ["doc_id", "held_out"])
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op5_minhash_near_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op3_byte_bpe, op5_minhash_near_dedup, op7_decontaminate, op10_language_id)}
 ORACLES: dict[str, str] = {}

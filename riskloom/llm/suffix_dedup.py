@@ -35,6 +35,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -476,6 +477,12 @@ def _cut(length: int, keep: bool):
     return run
 
 
+@F.pandas_udf("string")
+def whole_text(kept: pd.Series) -> pd.Series:
+    """Text of remaining bytes; what is left of a character that was cut in two goes too."""
+    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, keep: bool = True, sizes: Sizes = Sizes()) -> DataFrame:
     """One row per document: ``id_col``, n_bytes, n_removed, n_spans, kept_sha256, and with
     ``keep`` the remaining bytes as ``kept``."""
