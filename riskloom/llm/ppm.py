@@ -53,7 +53,7 @@ def codes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         code = (code << 8) | body[k : len(body) - ORDER + k]
     real = np.ones(len(code), bool)
     skip = (begin[1:, None] - ORDER - np.arange(1, ORDER + 1)[None, :]).ravel() if len(size) > 1 else np.zeros(0, np.int64)
-    real[skip + ORDER] = False
+    real[skip] = False
     return code[real], np.concatenate([[0], np.cumsum(size + 1)])
 
 
