@@ -81,6 +81,6 @@ def test_salvage(packed):
 
 def test_reasons():
     a, b = records(2)
-    for data, reason in [(b"junk" + a, "no version line"), (a[:-3], "no end of record"), (a.replace(b"page 0", b"page 9", 1), "digest"), (a.replace(b"Content-Length: ", b"Content-Length: x", 1), "length"), (a[:40], "headers")]:
+    for data, reason in [(b"junk" + a, "no version line"), (a[:-3], "no end of record"), (a.replace(b"page 0", b"page 9", 1), "digest"), (a.replace(b"Content-Length: ", b"Content-Length: x", 1), "length"), (a[:40], "colon")]:
         gaps = [g for k, _, _, g in W.salvage(data + b) if k == "gap"]
         assert len(gaps) == 1 and reason in gaps[0], reason
