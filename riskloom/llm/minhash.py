@@ -15,11 +15,16 @@ Bands of coordinates are joined, and every pair is verified by exact Jaccard sim
 1. Documents with equal words collapse to one; only that goes on.
 2. In each band bucket all members are compared with one leader, the member that shares the
    most buckets, and verified links are closed to classes.
-3. Buckets that then still hold several classes compare the members outside their largest
-   class with all members of other classes, and classes are closed again.
+3. Buckets that then still hold several classes are split. If a is not similar enough to the
+   leader, every b that is similar enough to a shares with it an element in which both
+   differ from the leader (without one, J(a, b) <= J(a, leader)). So members meet again in
+   one bucket per leader and differing element, with a new leader; what is then still in
+   another class than the largest of its bucket is compared with all other classes there.
+   Leaders of at most ``FEW`` members have all members of different classes compared.
 
-So links inside a class are not all listed, but none that could join two classes is lost.
-No bucket is collected: all steps are aggregations and joins that Spark can split.
+So links inside a class are not all listed, but none that could join two classes is lost,
+and the work grows with the members of a bucket, not with its pairs. No bucket is collected:
+all steps are aggregations and joins that Spark can split.
 
 Defined cases: null or wordless texts are alone in their class; repeated rows and ids are
 copies; the class is the smallest id (of the first row in order of id, text); other columns
@@ -33,13 +38,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import flat, keyed, text_bytes, with_id
+from riskloom.llm.common import keyed, text_bytes
 from riskloom.session import materialise
 
 BANDS, ROWS = 24, 5
+FEW = 24
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Chances that a cell of area one holds at most 0, 1, 2 ... darts, scaled to 32 bits.
 _POISSON = (np.cumsum([np.exp(-1.0) / float(np.prod(np.arange(1, i + 1, dtype=float))) for i in range(12)]) * 2**32).astype(np.uint64)
@@ -98,7 +104,7 @@ def _throw(doc, element, weight, reach, best, k: int) -> None:
             size = cells[lo:hi]
             owner = np.repeat(np.arange(lo, hi), size)
             cell = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
-            seed = _mix(element[owner] + np.uint64(band + 1) * _M1 + cell.astype(np.uint64) * _M3)
+            seed = _mix(element[owner] + np.uint64((band + 1) * int(_M1) & (1 << 64) - 1) + cell.astype(np.uint64) * _M3)
             darts = np.searchsorted(_POISSON, seed >> np.uint64(32), "right")
             owner, cell, seed = np.repeat(owner, darts), np.repeat(cell, darts), np.repeat(seed, darts)
             order = np.arange(len(owner)) - np.repeat(np.cumsum(darts) - darts, darts)
@@ -196,6 +202,21 @@ def _verify(at_least: float):
     return run
 
 
+def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Elements in which two sets, or their counts, differ."""
+    for batch in batches:
+        out = []
+        for a, na, b, nb in zip(*(batch.column(c).to_pylist() for c in ("items", "counts", "items2", "counts2")), strict=True):
+            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            if na:
+                both, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+                same = both[np.frombuffer(na, np.uint32)[i] == np.frombuffer(nb, np.uint32)[j]]
+                out.append(np.setdiff1d(np.union1d(x, y), same, assume_unique=True).view(np.int64))
+            else:
+                out.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("u", "v", "label", "open")), pa.array(out, pa.list_(pa.int64()))], names=["u", "v", "label", "open", "elements"])
+
+
 def closed(links: DataFrame) -> DataFrame:
     """(u, label): the smallest vertex that each vertex of ``links`` (u, v) reaches.
 
@@ -225,25 +246,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = heads.select("u", F.explode("bands").alias("band"))
     full = member.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     member = materialise(member.join(full, "band").select("band", "u", "n"), "members")
-    degree = member.groupBy("u").agg(F.sum("n").alias("degree"))
-    ranked = member.join(degree, "u")
-    leader = ranked.groupBy("band").agg(F.max(F.struct("degree", (-F.col("u")).alias("minus"))).alias("top")).select("band", (-F.col("top.minus")).alias("v"))
-    first = member.join(leader, "band").where("u <> v").select("u", "v").distinct()
-    sets = texts.join(member.select("u").distinct(), "u", "left_semi").mapInArrow(_sets(words, weighting), "u long, items binary, counts binary")
+    degree = materialise(member.groupBy("u").agg(F.sum("n").alias("degree")), "degree")
+    sets = texts.join(member.select("u").distinct().hint("merge"), "u", "left_semi").mapInArrow(_sets(words, weighting), "u long, items binary, counts binary")
     sets = materialise(sets, "sets")
-    links = materialise(_verified(first, sets, at_least), "verified")
+    tried = materialise(_led(member.select("band", "u"), degree, "band").select("u", "v").distinct(), "pairs")
+    links = materialise(_verified(tried, sets, at_least), "verified")
     labels = closed(links)
-    placed = materialise(member.join(labels, "u", "left").select("band", "u", F.coalesce("label", "u").alias("label")), "placed")
-    part = placed.groupBy("band", "label").agg(F.count("*").alias("n"))
-    largest = part.groupBy("band").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("band", F.col("top.label").alias("major"))
-    mixed = placed.join(largest, "band")
-    minor = mixed.where("label <> major").select("band", F.col("u").alias("a"), F.col("label").alias("a_label"))
-    pairs = minor.join(mixed, "band").where("label <> a_label").select(F.least("a", "u").alias("u"), F.greatest("a", "u").alias("v")).distinct()
-    tried = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    more = materialise(_verified(pairs.join(tried, ["u", "v"], "left_anti"), sets, at_least), "verified")
-    if not more.isEmpty():
-        links = materialise(links.union(more), "verified")
-        labels = closed(links)
+    few, parts = _parted(tried, labels, sets)
+    led = _led(parts, degree, "bucket")
+    for step in (lambda: few.union(_across(led, labels)), lambda: _left(parts, labels)):
+        asked = step().select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        known = tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+        asked = materialise(asked.join(known, ["u", "v"], "left_anti"), "pairs")
+        more = materialise(_verified(asked, sets, at_least), "verified")
+        tried = tried.union(asked)
+        if not more.isEmpty():
+            links = materialise(links.union(more), "verified")
+            labels = closed(links)
     ends = links.select("u").union(links.select(F.col("v").alias("u"))).groupBy("u").agg(F.count("*").alias("n_links"))
     known = heads.select("words", "u").join(labels, "u", "left").join(ends, "u", "left").select("words", F.coalesce("label", "u").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     placed = sketch.select("u", "words").join(known, "words", "left").select(F.col("u").alias("_u"), F.coalesce("label", "u").alias("_first"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
@@ -257,6 +276,55 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.join(ids.select(F.col("_u").alias("_first"), F.col(id_col).alias("class_id")), "_first").select(id_col, "class_id", "class_size", "n_links")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, at_least: float) -> DataFrame:
+def _led(members: DataFrame, degree: DataFrame, key: str) -> DataFrame:
+    """Members of each bucket with its leader, v; the leader itself is left out."""
+    ranked = members.join(degree, "u").groupBy(key).agg(F.max(F.struct("degree", (-F.col("u")).alias("minus"))).alias("top"))
+    return members.join(ranked.select(key, (-F.col("top.minus")).alias("v")), key).where("u <> v")
+
+
+def _labelled(state: DataFrame, labels: DataFrame) -> DataFrame:
+    """``state`` with the class of the member and whether the leader is in another."""
+    named = state.join(labels, "u", "left").withColumn("label", F.coalesce("label", "u"))
+    named = named.join(labels.select(F.col("u").alias("v"), F.col("label").alias("led")), "v", "left")
+    return named.select("u", "v", "label", (F.col("label") != F.coalesce("led", "v")).alias("open"))
+
+
+def _across(state: DataFrame, labels: DataFrame) -> DataFrame:
+    return _labelled(state.select("u", "v").distinct(), labels).where("open").select("u", "v")
+
+
+def _parted(state: DataFrame, labels: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of leaders v whose members u are in several classes: all pairs of different classes
+    where the members are few, else the members by differing element (bucket, u)."""
+    named = _labelled(state, labels)
+    mixed = named.groupBy("v").agg(F.max("open").alias("mixed"), F.count("*").alias("n")).where("mixed")
+    rest = materialise(named.join(mixed.select("v", "n"), "v"), "mixed")
+    small = rest.where(F.col("n") <= FEW).select("v", "u", "label")
+    other = small.select("v", F.col("u").alias("w"), F.col("label").alias("other"))
+    few = small.join(other, "v").where("u < w AND label <> other").select("u", F.col("w").alias("v"))
+    large = rest.where(F.col("n") > FEW).select("u", "v", "label", "open")
+    parts = _with_sets(large, sets).mapInArrow(_differ, "u long, v long, label long, open boolean, elements array<long>")
+    parts = parts.select("v", "u", "label", "open", F.explode("elements").alias("element"))
+    parts = materialise(parts.select(F.xxhash64("v", "element").alias("bucket"), "u", "label", "open"), "parts")
+    alive = parts.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("open").alias("open")).where("a <> b AND open")
+    return few, materialise(parts.join(alive.select("bucket"), "bucket").select("bucket", "u").distinct(), "members")
+
+
+def _left(parts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of different classes that are still in one bucket, one of them outside its largest class."""
+    named = parts.join(labels, "u", "left").select("bucket", "u", F.coalesce("label", "u").alias("label"))
+    sizes = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("classes")).where("classes > 1")
+    mixed = materialise(named.join(largest.select("bucket", F.col("top.label").alias("major")), "bucket"), "left")
+    minor = mixed.where("label <> major").select("bucket", F.col("u").alias("v"), F.col("label").alias("other"))
+    return minor.join(mixed, "bucket").where("label <> other").select("u", "v")
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     other = sets.select(F.col("u").alias("v"), F.col("items").alias("items2"), F.col("counts").alias("counts2"))
-    return pairs.join(sets, "u").join(other, "v").select("u", "v", "items", "counts", "items2", "counts2").mapInArrow(_verify(at_least), "u long, v long")
+    return pairs.join(sets, "u").join(other, "v")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, at_least: float) -> DataFrame:
+    both = _with_sets(pairs, sets).select("u", "v", "items", "counts", "items2", "counts2")
+    return both.mapInArrow(_verify(at_least), "u long, v long")

@@ -35,11 +35,10 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import buckets, flat, keyed, text_bytes, with_id
@@ -477,10 +476,10 @@ def _cut(length: int, keep: bool):
     return run
 
 
-@F.pandas_udf("string")
-def whole_text(kept: pd.Series) -> pd.Series:
+def whole_text(kept: str) -> Column:
     """Text of remaining bytes; what is left of a character that was cut in two goes too."""
-    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
+    decode = lambda bodies: bodies.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+    return F.pandas_udf(decode, "string", F.PandasUDFType.SCALAR)(kept)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, keep: bool = True, sizes: Sizes = Sizes()) -> DataFrame:

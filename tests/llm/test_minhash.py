@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pytest
 
 from riskloom.llm import minhash as M
 
@@ -52,8 +53,25 @@ def corpus():
     return rows
 
 
-def test_classes(spark):
-    rows = corpus()
+def crowd():
+    """Copies of one text with edits of their own, and chains that link only through each other."""
+    rng = np.random.default_rng(9)
+    base = ["b" + str(k) for k in range(120)]
+    rows = []
+    for k in range(120):
+        copy, own = list(base), int(rng.integers(1, 7))
+        for at in rng.choice(24, own, replace=False) * 5:
+            copy[at] = f"e{int(rng.integers(3))}" if k % 3 else f"x{k}"
+        rows.append((k, " ".join(copy)))
+    rows += [(200 + k, " ".join(base[: 120 - 8 * k])) for k in range(12)]
+    return rows
+
+
+@pytest.mark.parametrize("few", [24, 1])
+@pytest.mark.parametrize("make", ["corpus", "crowd"])
+def test_classes(spark, monkeypatch, make, few):
+    monkeypatch.setattr(M, "FEW", few)
+    rows = globals()[make]()
     df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, u int")
     got = {r["doc_id"]: r["class_id"] for r in M.near_duplicates(df).collect()}
     assert got == brute(rows)
