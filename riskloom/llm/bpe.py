@@ -1,15 +1,17 @@
 """Byte-level BPE encoding and decoding by a rank queue over a hierarchical bitmap.
 
-A pre-token is a linked list of parts. For every merge rank there is a bucket of list
+Pre-tokens are linked lists of parts. For every merge rank there is a bucket of list
 positions whose pair has that rank, and a bitmap of ranks that have a bucket, with two
 levels of summary words above; find-first-set down the levels gives the next rank in a few
 steps. The leftmost position of the bucket is merged, entries that a merge made stale are
 skipped, and the new pairs enter their buckets. The cost is n log n for any length, so a
-pre-token of a megabyte is no special case.
+pre-token of a megabyte is no special case. All short pre-tokens of a batch share one queue:
+a step takes the next rank's bucket and merges the leftmost position of every pre-token in
+it, as arrays.
 
 Ranks are those of a ``.tiktoken`` file; each match of the pattern is encoded on its own,
-without special tokens. Pre-tokens are looked up before they are encoded: a task remembers
-the results of at most ``REMEMBER`` distinct ones, and starts afresh beyond. Documents
+without special tokens. Pre-tokens are looked up before they are encoded: a Python worker
+remembers the results of about ``REMEMBER`` distinct ones, and starts afresh beyond. Documents
 are cut only where no match of the pattern can reach across: before a blank that follows a
 character that is no white space.
 
@@ -20,25 +22,32 @@ repeated results; other columns are ignored; an empty table gives an empty resul
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from riskloom.llm.common import text_bytes
 
-REMEMBER = 500_000
+REMEMBER = 600_000
+SHORT = 64
 #: White space of Unicode, for \s; fixed values.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes and ranks of a ``.tiktoken`` file (a parameter of the job, on the driver)."""
-    with open(path, "rb") as lines:
-        return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
+    with open(path, "rb") as f:
+        return _parsed(f.read())
+
+
+def _parsed(text: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in text.splitlines() if line.strip())}
 
 
 class RankQueue:
@@ -87,6 +96,37 @@ class RankQueue:
         return at, position
 
 
+    def fill(self, rank: int, positions: list[int]) -> None:
+        """Adds positions to a bucket, in no order."""
+        bucket = self.buckets.get(rank)
+        if bucket is not None:
+            bucket += positions
+        else:
+            self.buckets[rank] = positions
+            for level in self.levels:
+                word = level[rank >> 6]
+                level[rank >> 6] = word | 1 << (rank & 63)
+                if word:
+                    break
+                rank >>= 6
+
+    def take(self) -> tuple[int, list[int]] | None:
+        """The smallest rank with its whole bucket, or None."""
+        at = 0
+        for level in reversed(self.levels):
+            word = level[at]
+            if not word:
+                return None
+            at = at << 6 | (word & -word).bit_length() - 1
+        bit = at
+        for level in self.levels:
+            level[bit >> 6] &= ~(1 << (bit & 63))
+            if level[bit >> 6]:
+                break
+            bit >>= 6
+        return at, self.buckets.pop(at)
+
+
 class Codec:
     """Encoding and decoding with one set of ranks and one pattern."""
 
@@ -95,6 +135,7 @@ class Codec:
         self.tokens = {r: t for t, r in ranks.items()}
         self.size = max(ranks.values()) + 1
         self.queue = RankQueue(self.size)
+        self.pairs: tuple | None = None
         self.split = regex.compile(pattern.replace(r"[^\s", rf"[^{_SPACE}").replace(r"\s", rf"[{_SPACE}]").replace(r"\S", rf"[^{_SPACE}]"))
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -137,6 +178,84 @@ class Codec:
             i = after[i]
         return out
 
+    def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of token ids, -1 for none."""
+        if self.pairs is None:
+            made = {}
+            for token, rank in self.ranks.items():
+                for k in range(1, len(token)):
+                    a, b = self.ranks.get(token[:k]), self.ranks.get(token[k:])
+                    if a is not None and b is not None:
+                        made[a * self.size + b] = rank
+            keys = np.array(sorted(made), np.int64)
+            self.pairs = keys, np.array([made[k] for k in keys.tolist()], np.int64)
+        keys, ranks = self.pairs
+        want = left * self.size + right
+        at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+        return np.where(keys[at] == want, ranks[at], -1)
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
+        """``encode_piece`` of each, over one queue."""
+        out: list = [None] * len(pieces)
+        short = []
+        for k, piece in enumerate(pieces):
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                out[k] = [whole]
+            elif len(piece) > SHORT:
+                out[k] = self.encode_piece(piece)
+            else:
+                short.append(k)
+        if not short:
+            return out
+        size = np.array([len(pieces[k]) for k in short])
+        data = np.frombuffer(b"".join(pieces[k] for k in short), np.uint8)
+        n, owner, end = len(data), np.repeat(np.arange(len(short)), size), np.cumsum(size)
+        ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)[data]
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[end - 1] = -1
+        before[end - size] = -1
+        pair = np.full(n, -1, np.int64)
+        has = np.flatnonzero(after >= 0)
+        pair[has] = self._pair_ranks(ids[has], ids[has + 1])
+        queue = RankQueue(self.size)
+        first = has[pair[has] >= 0]
+        first = first[np.argsort(pair[first], kind="stable")]
+        cut = np.flatnonzero(np.diff(pair[first], prepend=-1, append=-1))
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            queue.fill(int(pair[first[a]]), first[a:b].tolist())
+        while (found := queue.take()) is not None:
+            rank, places = found
+            at = np.unique(np.array(places))
+            at = at[pair[at] == rank]  # the others are stale
+            if not len(at):
+                continue
+            lead = np.ones(len(at), bool)
+            lead[1:] = owner[at[1:]] != owner[at[:-1]]
+            if not lead.all():
+                queue.fill(rank, at[~lead].tolist())
+                at = at[lead]
+            gone = after[at]
+            ids[at], pair[gone], ids[gone] = rank, -1, -1
+            after[at] = after[gone]
+            inner = after[at] >= 0
+            before[after[at[inner]]] = at[inner]
+            pair[at] = -1
+            back = before[at]
+            new = np.concatenate([at[inner], back[back >= 0]])
+            ranks = self._pair_ranks(ids[new], ids[after[new]])
+            pair[new] = ranks
+            for p, r in zip(new.tolist(), ranks.tolist(), strict=True):
+                if r >= 0:
+                    queue.fill(r, [p])
+        alive = ids >= 0
+        ids, count = ids[alive].tolist(), np.bincount(owner[alive], minlength=len(short))
+        a = 0
+        for k, c in zip(short, count.tolist(), strict=True):
+            out[k] = ids[a : a + c]
+            a += c
+        return out
+
     def encode(self, text: str) -> list[int]:
         return [r for m in self.split.findall(text) for r in self.encode_piece(m.encode())]
 
@@ -144,28 +263,29 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-class _Remembered(dict):
-    """Stretch of text: (its ids as text, their number, the bytes they decode to)."""
+class _Memory:
+    """Results of stretches and pre-tokens: ids as text, their number, the decoded bytes."""
 
     def __init__(self, codec: Codec) -> None:
-        self.codec, self.pieces = codec, {}
-
-    def __missing__(self, stretch: str) -> tuple[str, int, bytes]:
-        texts, n, bodies = [], 0, []
-        for m in self.codec.split.findall(stretch):
-            known = self.pieces.get(m)
-            if known is None:
-                ids = self.codec.encode_piece(m.encode())
-                known = (" ".join(map(str, ids)), len(ids), self.codec.decode(ids))
-                if len(m) < 64:
-                    self.pieces[m] = known
-            texts.append(known[0])
-            n += known[1]
-            bodies.append(known[2])
-        known = (" ".join(texts), n, b"".join(bodies))
-        if len(stretch) < 64:
-            self[stretch] = known
-        return known
+        self.codec, self.whole, self.pieces = codec, {}, {}
+
+    def learn(self, texts: set[str]) -> None:
+        """Encodes and decodes what is not known of ``texts``."""
+        if len(self.whole) > REMEMBER:
+            self.whole = {}
+        if len(self.pieces) > REMEMBER:
+            self.whole, self.pieces = {}, {}
+        split, pieces = self.codec.split.findall, self.pieces
+        cut = [(s, split(s)) for s in texts if s not in self.whole]
+        fresh = list({m for _, parts in cut for m in parts if m not in pieces})
+        for m, ids in zip(fresh, self.codec.encode_pieces([m.encode() for m in fresh]), strict=True):
+            pieces[m] = (" ".join(map(str, ids)), len(ids), self.codec.decode(ids))
+        for s, parts in cut:
+            if len(parts) == 1:
+                self.whole[s] = pieces[parts[0]]
+            else:
+                got = [pieces[m] for m in parts]
+                self.whole[s] = (" ".join([g[0] for g in got]), sum([g[1] for g in got]), b"".join([g[2] for g in got]))
 
 
 def stretches(text: str) -> list[str]:
@@ -182,16 +302,22 @@ def stretches(text: str) -> list[str]:
     return out if text else []
 
 
-def _run(ranks: dict[bytes, int], pattern: str, ids: bool):
+@functools.lru_cache(maxsize=1)
+def _memory(text: bytes, pattern: str) -> _Memory:
+    """Kept by a Python worker from task to task."""
+    return _Memory(Codec(_parsed(text), pattern))
+
+
+def _run(rank_text: bytes, pattern: str, ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Remembered(Codec(ranks, pattern))
+        memory = _memory(rank_text, pattern)
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            for body in batch.column(batch.num_columns - 1).to_pylist():
-                if len(known) + len(known.pieces) > REMEMBER:
-                    known.clear()
-                    known.pieces.clear()
-                got = [known[s] for s in stretches(body.decode())]
+            texts = [stretches(body.decode()) for body in batch.column(batch.num_columns - 1).to_pylist()]
+            memory.learn(set().union(*texts))
+            known = memory.whole
+            for text in texts:
+                got = [known[s] for s in text]
                 text = " ".join([g[0] for g in got])
                 out[0].append(sum([g[1] for g in got]))
                 out[1].append(hashlib.sha256(text.encode()).hexdigest())
@@ -211,11 +337,12 @@ def _run(ranks: dict[bytes, int], pattern: str, ids: bool):
 def tokenize(docs: DataFrame, ranks_path: str, pattern: str, columns: list[str], text_col: str = "text", ids: bool = True) -> DataFrame:
     """``columns`` of every document with n_tokens, ids_sha256 (of the decimal ids), the hash
     of what the ids decode to, and with ``ids`` the ids."""
-    ranks = read_ranks(ranks_path)
+    with open(ranks_path, "rb") as f:
+        rank_text = f.read()
     rows = docs.select(*columns, text_bytes(text_col).alias("_body"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
     made = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
-    return rows.mapInArrow(_run(ranks, pattern, ids), f"{schema}, {made}")
+    return rows.mapInArrow(_run(rank_text, pattern, ids), f"{schema}, {made}")
 
 
 def detokenize(rows: DataFrame, ranks_path: str, columns: list[str], ids_col: str = "ids") -> DataFrame:

@@ -35,7 +35,7 @@ from riskloom.session import materialise
 
 ORDER = 4
 START, END = 0xFE, 0xFF  # bytes that UTF-8 never has
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 24 << 20
 CHUNK = 2 << 20
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 

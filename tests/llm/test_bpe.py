@@ -32,6 +32,17 @@ def test_any_text(text):
     assert [i for s in B.stretches(text) for i in CODEC.encode(s)] == OWN.encode_ordinary(text)
 
 
+def test_many_at_once():
+    rng = random.Random(2)
+    pieces = [bytes(rng.choice(b"abcdefe tin") for _ in range(rng.randrange(1, 90))) for _ in range(3000)] + ["ñandú漢字🎉".encode(), b"aaaaaaaaaaaaaaaaaaaaaaaa", bytes(range(256))]
+    assert CODEC.encode_pieces(pieces) == [CODEC.encode_piece(p) for p in pieces]
+    odd = {bytes([b]): b for b in range(256)} | {b"xab": 256, b"xa": 257, b"ab": 258, b"cab": 259, b"abab": 260}
+    own, lib = B.Codec(odd, ".+"), tiktoken.Encoding("odd", pat_str=".+", mergeable_ranks=odd, special_tokens={})
+    for _ in range(400):
+        text = "".join(rng.choice("xabc") for _ in range(rng.randrange(1, 40)))
+        assert own.encode_pieces([text.encode()]) == [own.encode_piece(text.encode())] == [lib.encode_ordinary(text)], text
+
+
 def test_queue_order():
     rng = random.Random(1)
     queue, held = B.RankQueue(50_000), []
