@@ -38,7 +38,7 @@ from riskloom.session import fresh_path
 
 BLOCK = 4096
 PERCENTILE = 95
-REMEMBER = 500_000
+REMEMBER = 900_000
 MAGIC = b"PFOR\x01"
 _HEAD = struct.Struct("<IIQIQI")  # partition, segment, ids before it in the partition, documents, ids, blocks
 _BLOCK = struct.Struct("<IBHH")  # minimum, width, exceptions, ids
@@ -137,8 +137,8 @@ def _encode(json_text: str, end_id: int):
                 if len(known) > REMEMBER:
                     known.clear()
                 fresh = list({w for doc in words for w in doc if w not in known})
-                for w, e in zip(fresh, tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, "<u4").tobytes()
+                for w, e in zip(fresh, tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False), strict=True):
+                    known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
                 bodies = [b"".join(map(known.__getitem__, doc)) + end for doc in words]
                 sizes = np.array([len(b) // 4 for b in bodies], np.int64)
                 ids = np.frombuffer(b"".join(bodies), "<u4")
