@@ -276,9 +276,9 @@ def customer_segments(application: DataFrame, bureau: DataFrame, previous: DataF
     approval = F.coalesce(ratio("PREV_APP_APPROVED", "PREV_APP_COUNT"), F.lit(0.0))
     return filled.withColumns(
         {
-            "IS_FIRST_HOME_CREDIT_CUSTOMER": new.cast("int"),
+            "IS_FIRST_TIME_CUSTOMER": new.cast("int"),
             "IS_CREDIT_VIRGIN": virgin.cast("int"),
-            "HOME_CREDIT_APPROVAL_RATE": approval,
+            "PREV_APPROVAL_SHARE": approval,
             "MONTHS_CREDIT_HISTORY": F.when(
                 col("DAYS_FIRST_CREDIT") < 0, -col("DAYS_FIRST_CREDIT") / F.lit(30.44)
             ).otherwise(0.0),
@@ -286,7 +286,7 @@ def customer_segments(application: DataFrame, bureau: DataFrame, previous: DataF
                 col("AMT_INCOME_TOTAL") > 0, ratio("BUREAU_TOTAL_DEBT", "AMT_INCOME_TOTAL")
             ).otherwise(0.0),
             "CUSTOMER_RISK_SEGMENT": F.when(virgin & new, "HIGH_RISK_NEW_TO_CREDIT")
-            .when(~virgin & new, "MEDIUM_RISK_NEW_TO_HOME_CREDIT")
+            .when(~virgin & new, "MEDIUM_RISK_NEW_TO_LENDER")
             .when(~virgin & ~new & (approval > 0.5), "LOW_RISK_REPEAT_APPROVED")
             .when(~virgin & ~new & (approval <= 0.5), "MEDIUM_RISK_REPEAT_REJECTED")
             .otherwise("UNKNOWN_RISK"),

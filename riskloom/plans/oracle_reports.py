@@ -31,13 +31,13 @@ s AS (
     coalesce(refused, 0) AS PREV_APP_REFUSED, coalesce(asked, 0) AS PREV_APP_AMT_MEAN, coalesce(got, 0) AS PREV_APP_CREDIT_MEAN,
     coalesce(b.n, 0) AS BUREAU_COUNT, coalesce(act, 0) AS BUREAU_ACTIVE_COUNT, coalesce(closed, 0) AS BUREAU_CLOSED_COUNT,
     coalesce(first_day, 0) AS DAYS_FIRST_CREDIT, coalesce(debt, 0) AS BUREAU_TOTAL_DEBT,
-    coalesce(overdue, 0) AS BUREAU_TOTAL_OVERDUE, (p.n IS NULL)::INT AS IS_FIRST_HOME_CREDIT_CUSTOMER,
-    (b.n IS NULL)::INT AS IS_CREDIT_VIRGIN, coalesce(ok / p.n, 0) AS HOME_CREDIT_APPROVAL_RATE,
+    coalesce(overdue, 0) AS BUREAU_TOTAL_OVERDUE, (p.n IS NULL)::INT AS IS_FIRST_TIME_CUSTOMER,
+    (b.n IS NULL)::INT AS IS_CREDIT_VIRGIN, coalesce(ok / p.n, 0) AS PREV_APPROVAL_SHARE,
     CASE WHEN first_day < 0 THEN -first_day / 30.44::DOUBLE ELSE 0 END AS MONTHS_CREDIT_HISTORY,
     CASE WHEN a.AMT_INCOME_TOTAL > 0 THEN coalesce(debt, 0) / a.AMT_INCOME_TOTAL ELSE 0 END AS EXTERNAL_DEBT_INCOME_RATIO,
     CASE WHEN b.n IS NULL AND p.n IS NULL THEN 'HIGH_RISK_NEW_TO_CREDIT'
       WHEN b.n IS NULL THEN 'UNKNOWN_RISK'
-      WHEN p.n IS NULL THEN 'MEDIUM_RISK_NEW_TO_HOME_CREDIT'
+      WHEN p.n IS NULL THEN 'MEDIUM_RISK_NEW_TO_LENDER'
       WHEN ok / p.n > 0.5 THEN 'LOW_RISK_REPEAT_APPROVED' ELSE 'MEDIUM_RISK_REPEAT_REJECTED' END AS CUSTOMER_RISK_SEGMENT
   FROM f_application_train a LEFT JOIN p USING (SK_ID_CURR) LEFT JOIN b USING (SK_ID_CURR))
 """
@@ -47,14 +47,14 @@ _SEGMENT_COLUMNS = columns(
         (I, c, c)
         for c in (
             "SK_ID_CURR TARGET PREV_APP_COUNT PREV_APP_APPROVED PREV_APP_REFUSED BUREAU_COUNT BUREAU_ACTIVE_COUNT "
-            "BUREAU_CLOSED_COUNT DAYS_FIRST_CREDIT IS_FIRST_HOME_CREDIT_CUSTOMER IS_CREDIT_VIRGIN"
+            "BUREAU_CLOSED_COUNT DAYS_FIRST_CREDIT IS_FIRST_TIME_CUSTOMER IS_CREDIT_VIRGIN"
         ).split()
     ],
     *[
         (D, c, c)
         for c in (
             "AMT_INCOME_TOTAL PREV_APP_AMT_MEAN PREV_APP_CREDIT_MEAN BUREAU_TOTAL_DEBT BUREAU_TOTAL_OVERDUE "
-            "HOME_CREDIT_APPROVAL_RATE MONTHS_CREDIT_HISTORY EXTERNAL_DEBT_INCOME_RATIO"
+            "PREV_APPROVAL_SHARE MONTHS_CREDIT_HISTORY EXTERNAL_DEBT_INCOME_RATIO"
         ).split()
     ],
     (S, "CUSTOMER_RISK_SEGMENT", "CUSTOMER_RISK_SEGMENT"),

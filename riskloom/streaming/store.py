@@ -44,7 +44,7 @@ def deliver(sink: Callable[[DataFrame, int], None], dead_letters: str, retries:
                 return sink(batch, batch_id)
             except Exception as e:  # any sink failure counts as an attempt
                 error = e
-        reason = F.lit(f"{type(error).__name__}: {error}"[:500])
+        reason = F.lit(f"{type(error).__name__}: {error}")
         batch.withColumn("reason", reason).write.mode("overwrite").parquet(f"{dead_letters}/batch_id={batch_id}")
 
     return run
