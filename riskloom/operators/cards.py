@@ -64,10 +64,10 @@ def numeric_columns(df: DataFrame, exclude: list[str]) -> list[str]:
     ]
 
 
-def numeric_averages(df: DataFrame, key: str, prefix: str = "cc_avg_", at_most: int = 50) -> DataFrame:
-    """Average of every numeric column per key, for the first ``at_most`` columns
-    found in the schema; only the distinct keys if there are none."""
-    found = numeric_columns(df, [key])[:at_most]
+def numeric_averages(df: DataFrame, key: str, prefix: str = "cc_avg_") -> DataFrame:
+    """Average of every numeric column per key; only the distinct keys if there are
+    none."""
+    found = numeric_columns(df, [key])
     if not found:
         return df.select(key).distinct()
     return df.groupBy(key).agg(*[F.avg(c).alias(f"{prefix}{c}") for c in found])
