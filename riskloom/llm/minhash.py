@@ -16,11 +16,13 @@ Bands of coordinates are joined, and every pair is verified by exact Jaccard sim
 2. In each band bucket all members are compared with one leader, the member that shares the
    most buckets, and verified links are closed to classes.
 3. Buckets that then still hold several classes are split. If a is not similar enough to the
-   leader, every b that is similar enough to a shares with it an element in which both
-   differ from the leader (without one, J(a, b) <= J(a, leader)). So members meet again in
-   one bucket per leader and differing element, with a new leader; what is then still in
-   another class than the largest of its bucket is compared with all other classes there.
-   Leaders of at most ``FEW`` members have all members of different classes compared.
+   leader, every b that is similar enough to a shares with it elements in which both
+   differ from the leader (without one, J(a, b) <= J(a, leader)); ``_needed`` says how
+   many. So members meet again in one bucket per leader and differing element, of which
+   each enters only its rarest, as many as a pair with that many in common cannot miss.
+   Buckets get new leaders; what is then still in another class than the largest of its
+   bucket is compared with all other classes there. Leaders of at most ``FEW`` members
+   have all members of different classes compared.
 
 So links inside a class are not all listed, but none that could join two classes is lost,
 and the work grows with the members of a bucket, not with its pairs. No bucket is collected:
@@ -38,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import keyed, text_bytes
@@ -202,19 +204,48 @@ def _verify(at_least: float):
     return run
 
 
-def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Elements in which two sets, or their counts, differ."""
-    for batch in batches:
-        out = []
-        for a, na, b, nb in zip(*(batch.column(c).to_pylist() for c in ("items", "counts", "items2", "counts2")), strict=True):
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            if na:
-                both, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-                same = both[np.frombuffer(na, np.uint32)[i] == np.frombuffer(nb, np.uint32)[j]]
-                out.append(np.setdiff1d(np.union1d(x, y), same, assume_unique=True).view(np.int64))
-            else:
-                out.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("u", "v", "label", "open")), pa.array(out, pa.list_(pa.int64()))], names=["u", "v", "label", "open", "elements"])
+def _needed(differ: int, size: int, leader: int, open_: bool, t: float) -> int:
+    """Least number of elements in which a set of ``size`` elements, ``differ`` of them
+    unlike its leader's, and any set of another class with a similarity of ``t`` both
+    differ from the leader. At least one of the two is open, not similar to the leader.
+
+    Sets A, B are similar when the elements in only one of them are at most
+    c (|A| + |B|), c = (1 - t) / (1 + t). These are the elements in which just one differs
+    from the leader L, so both differ in at least (dA + dB - c (|A| + |B|)) / 2. With
+    dB > c (|B| + |L|), B being open, that is more than (dA - c |A| + c |L|) / 2. An open
+    A may also meet a B that is not: dB is at least what both differ in, and |B| at most
+    |A| / t, which leaves dA - c |A| (1 + 1 / t).
+    """
+    c = (1 - t) / (1 + t)
+    need = (differ - c * size + c * leader) / 2
+    if open_:
+        need = min(need, differ - c * size * (1 + 1 / t))
+    return max(1, int(np.ceil(need - 1e-6)))
+
+
+def _differ(at_least: float):
+    """Elements in which two sets, or their counts, differ, and how many of them another
+    class must share; of counted elements one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, need = [], []
+            for a, na, b, nb, open_ in zip(*(batch.column(c).to_pylist() for c in ("items", "counts", "items2", "counts2", "open")), strict=True):
+                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                if na:
+                    both, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+                    same = both[np.frombuffer(na, np.uint32)[i] == np.frombuffer(nb, np.uint32)[j]]
+                    out.append(np.setdiff1d(np.union1d(x, y), same, assume_unique=True).view(np.int64))
+                    need.append(1)
+                else:
+                    out.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
+                    need.append(_needed(len(out[-1]), len(x), len(y), open_, at_least))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("u", "v", "label", "open")), pa.array(need, pa.int64()), pa.array(out, pa.list_(pa.int64()))],
+                names=["u", "v", "label", "open", "need", "elements"],
+            )
+
+    return run
 
 
 def closed(links: DataFrame) -> DataFrame:
@@ -252,7 +283,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tried = materialise(_led(member.select("band", "u"), degree, "band").select("u", "v").distinct(), "pairs")
     links = materialise(_verified(tried, sets, at_least), "verified")
     labels = closed(links)
-    few, parts = _parted(tried, labels, sets)
+    few, parts = _parted(tried, labels, sets, at_least)
     led = _led(parts, degree, "bucket")
     for step in (lambda: few.union(_across(led, labels)), lambda: _left(parts, labels)):
         asked = step().select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
@@ -293,7 +324,7 @@ def _across(state: DataFrame, labels: DataFrame) -> DataFrame:
     return _labelled(state.select("u", "v").distinct(), labels).where("open").select("u", "v")
 
 
-def _parted(state: DataFrame, labels: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _parted(state: DataFrame, labels: DataFrame, sets: DataFrame, at_least: float) -> tuple[DataFrame, DataFrame]:
     """Of leaders v whose members u are in several classes: all pairs of different classes
     where the members are few, else the members by differing element (bucket, u)."""
     named = _labelled(state, labels)
@@ -303,11 +334,15 @@ def _parted(state: DataFrame, labels: DataFrame, sets: DataFrame) -> tuple[DataF
     other = small.select("v", F.col("u").alias("w"), F.col("label").alias("other"))
     few = small.join(other, "v").where("u < w AND label <> other").select("u", F.col("w").alias("v"))
     large = rest.where(F.col("n") > FEW).select("u", "v", "label", "open")
-    parts = _with_sets(large, sets).mapInArrow(_differ, "u long, v long, label long, open boolean, elements array<long>")
-    parts = parts.select("v", "u", "label", "open", F.explode("elements").alias("element"))
-    parts = materialise(parts.select(F.xxhash64("v", "element").alias("bucket"), "u", "label", "open"), "parts")
-    alive = parts.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("open").alias("open")).where("a <> b AND open")
-    return few, materialise(parts.join(alive.select("bucket"), "bucket").select("bucket", "u").distinct(), "members")
+    parts = _with_sets(large, sets).mapInArrow(_differ(at_least), "u long, v long, label long, open boolean, need long, elements array<long>")
+    parts = parts.select("v", "u", "label", "open", "need", F.explode("elements").alias("element"))
+    parts = materialise(parts.select(F.xxhash64("v", "element").alias("bucket"), "v", "u", "label", "open", "need"), "parts")
+    alive = parts.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("open").alias("open"), F.count("*").alias("n")).where("a <> b AND open")
+    # A member's own elements make up a window, so it is no longer than its text.
+    own = Window.partitionBy("v", "u")
+    rarest = parts.drop("open").join(alive.select("bucket", "n"), "bucket")
+    rarest = rarest.withColumn("rank", F.row_number().over(own.orderBy("n", "bucket"))).withColumn("all", F.count("*").over(own))
+    return few, materialise(rarest.where("rank <= `all` - need + 1").select("bucket", "u").distinct(), "members")
 
 
 def _left(parts: DataFrame, labels: DataFrame) -> DataFrame:
