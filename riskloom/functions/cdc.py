@@ -27,29 +27,19 @@ def parse_decimal(value: Column | str) -> Column:
 def decode_decimal(value: Column | str, scale: int) -> Column:
     """Base64 big-endian two's-complement integer divided by 10^scale, as double.
 
-    Exact integers up to eight bytes, which covers DECIMAL(18); up to sixteen bytes
-    the two halves are combined as doubles; longer or invalid text gives NULL.
+    Any length: the first byte carries the sign, and the bytes' distances from the sign
+    (zero, or 255 for a negative number) are folded to the magnitude, so that a padded
+    number keeps its value. Exact below 2^53. Empty or invalid text gives NULL.
     """
     text = col(value)
     padded = text.rlike(_BASE64) & (F.length(text) % 4 == 0)
     digits = F.hex(F.try_to_binary(F.when(padded, text), F.lit("base64")))
-    sign = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
-
-    def half(text: Column, to_base: int) -> Column:
-        return F.conv(text, 16, to_base).cast("decimal(20,0)")
-
-    short = half(_lpad(digits, 16, sign), -10).cast("double")
-    wide = _lpad(digits, 32, sign)
-    long = half(F.substring(wide, 1, 16), -10).cast("double") * F.lit(2.0**64) + half(
-        F.substring(wide, 17, 16), 10
-    ).cast("double")
-    size = F.length(digits)
-    unscaled = F.when(size.between(1, 16), short).when(size.between(17, 32), long)
-    return unscaled / F.lit(float(10**scale))
-
-
-def _lpad(text: Column, width: int, fill: Column) -> Column:
-    return F.concat(F.repeat(fill, F.lit(width) - F.length(text)), text)
+    negative = F.substring(digits, 1, 1) >= "8"
+    places = F.transform(F.sequence(F.lit(1), F.length(digits) - 1, F.lit(2)), lambda i: F.conv(F.substring(digits, i, F.lit(2)), 16, 10).cast("double"))
+    size = F.aggregate(
+        places, F.lit(0.0), lambda total, byte: total * 256 + F.when(negative, 255 - byte).otherwise(byte)
+    )
+    return F.when(F.length(digits) > 0, F.when(negative, -size - 1).otherwise(size)) / F.lit(float(10**scale))
 
 
 def parse_amount(value: Column | str, scale: int = 2) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.numeric import col, ratio, share, stats, to_double, to_long
-from riskloom.operators.skew import aggregate_with_distinct, with_parts
+from riskloom.operators.skew import aggregate_with_distinct
 
 KEY = "SK_ID_CURR"
 LOAN = "SK_ID_PREV"
@@ -116,16 +116,17 @@ def previous_features(previous: DataFrame) -> DataFrame:
     return aggregate_with_distinct(previous_base(previous), KEY, plain, distinct)
 
 
-def linkage_features(previous: DataFrame, max_ids: int = 100_000) -> DataFrame:
-    """Aggregates plus the list of approved loan ids, ready to link to payments.
+def approved_loans(previous: DataFrame) -> DataFrame:
+    """(customer, approved loan), ready to link to payments: a relation, since a list
+    per customer would have no bound."""
+    return previous.where(col("NAME_CONTRACT_STATUS") == "Approved").select(KEY, LOAN)
 
-    The list of a customer with more than ``max_ids`` approved loans is split over
-    several rows, numbered by ``PART`` (the aggregates repeat), so that no task
-    holds an unbounded list; every other customer has one row with PART 0.
-    """
+
+def linkage_features(previous: DataFrame) -> DataFrame:
+    """Totals of the approved loans, one row per customer."""
     approved = col("NAME_CONTRACT_STATUS") == "Approved"
     portfolio = col("NAME_PORTFOLIO")
-    totals = previous.groupBy(KEY).agg(
+    return previous.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("PREV_APP_COUNT"),
         F.count_if(approved).alias("PREV_APPROVED_COUNT"),
         share(approved).alias("PREV_APPROVAL_RATE"),
@@ -138,14 +139,6 @@ def linkage_features(previous: DataFrame, max_ids: int = 100_000) -> DataFrame:
         # The minimum of negative day offsets: the oldest approval, as defined.
         F.min(F.when(approved, col("DAYS_DECISION"))).alias("PREV_LAST_APPROVED_DAYS"),
     )
-    links = with_parts(previous.where(approved).select(KEY, LOAN), KEY, max_ids, [LOAN])
-    lists = links.groupBy(KEY, "PART").agg(F.sort_array(F.collect_list(LOAN)).alias("PREV_APPROVED_LOAN_IDS"))
-    return totals.join(lists, KEY, "left").withColumns(
-        {
-            "PART": F.coalesce("PART", F.lit(0)),
-            "PREV_APPROVED_LOAN_IDS": F.coalesce("PREV_APPROVED_LOAN_IDS", F.array().cast("array<bigint>")),
-        }
-    )
 
 
 def high_impact_features(previous: DataFrame) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,10 +14,6 @@ from riskloom.operators.quantiles import as_row, attach, exact_quantiles
 from riskloom.operators.ranking import ks_statistic
 
 
-# Columns profiled in one aggregate; more make generated code and planning slow.
-_PER_PASS = 40
-
-
 @dataclass(frozen=True)
 class Check:
     """A row-level test: ``failing`` marks the offending rows of ``column``."""
@@ -136,13 +131,6 @@ def target_correlation(df: DataFrame, target: str, key: str) -> DataFrame:
     columns = [
         f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in (key, target)
     ]
-    if len(columns) > _PER_PASS:  # each pass reads only its own columns
-        kept = [c for c in (key, target) if c in df.columns]
-        parts = [
-            target_correlation(df.select(*kept, *columns[i : i + _PER_PASS]), target, key)
-            for i in range(0, len(columns), _PER_PASS)
-        ]
-        return reduce(DataFrame.unionByName, parts).orderBy(F.col("correlation").desc(), "feature")
     y = F.col("_y")
     x = F.when(y.isNotNull(), F.col("value"))
     both = F.when(F.col("value").isNotNull(), y)

@@ -33,9 +33,11 @@ def aggregate_with_distinct(df: DataFrame, key: str, aggregates: list[Column], d
 
     In one aggregate every distinct count would push a copy of each row through the
     whole wide buffer. Apart, the wide side combines before its shuffle and the
-    distinct side moves only (key, value) pairs; both end hash-partitioned by the key,
-    so the join adds no shuffle.
+    distinct side moves only (key, value) pairs. Both sides group by a struct of the
+    key, which is equal to itself where the key is NULL, so a plain join on it finds
+    both sides partitioned and adds no shuffle.
     """
-    plain = df.groupBy(key).agg(*aggregates)
-    kinds = df.groupBy(F.col(key).alias("_key")).agg(*[F.count_distinct(c).alias(n) for n, c in distinct.items()])
-    return plain.join(kinds, plain[key].eqNullSafe(kinds["_key"])).drop("_key")
+    whole = F.struct(key).alias("_key")
+    plain = df.groupBy(whole).agg(*aggregates)
+    kinds = df.groupBy(whole).agg(*[F.count_distinct(c).alias(n) for n, c in distinct.items()])
+    return plain.join(kinds, "_key").select(F.col("_key")[key].alias(key), *plain.columns[1:], *distinct)

@@ -116,8 +116,8 @@ def impute_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def smart_fill(application_train: DataFrame, pos_cash: DataFrame) -> DataFrame:
-    """Mart of every third customer left out, so that there is something to fill."""
-    mart = pos.pos_features(pos_cash).where("SK_ID_CURR % 3 <> 0").select(
+    """Customers without loans have no row in the mart and are filled."""
+    mart = pos.pos_features(pos_cash).select(
         KEY, "POS_COUNT_LOANS_TOTAL", "POS_MEAN_DPD_RATE", "POS_LATEST_MONTH", "POS_RISK_SEGMENT"
     )
     return prepare.join_and_fill(application_train.select(KEY, "TARGET"), mart)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskloom.operators import application, bureau, cards, pos, previous
 from riskloom.sources.domain import view
@@ -21,11 +20,6 @@ def over(*names: str):
     return wrap
 
 
-def _linkage(previous_application: DataFrame) -> DataFrame:
-    found = previous.linkage_features(previous_application)
-    return found.withColumn("PREV_APPROVED_LOAN_IDS", F.concat_ws(",", F.col("PREV_APPROVED_LOAN_IDS").cast("array<string>")))
-
-
 QUERIES = {
     "mart_application": over("application_train")(application.mart_application),
     "mart_application_train": over("application_train")(application.mart_application_train),
@@ -42,7 +36,8 @@ QUERIES = {
     "pos_loan_level": over("pos_cash_balance")(pos.pos_loan_level),
     "mart_pos_cash_balance": over("pos_cash_balance")(pos.pos_features),
     "mart_previous_application": over("previous_application")(previous.previous_features),
-    "prev_linkage": over("previous_application")(_linkage),
+    "prev_linkage": over("previous_application")(previous.linkage_features),
+    "prev_approved_loans": over("previous_application")(previous.approved_loans),
     "prev_high_impact": over("previous_application")(previous.high_impact_features),
     "cc_dynamic_avg": over("credit_card_balance")(lambda df: cards.numeric_averages(df, "SK_ID_CURR")),
 }

@@ -225,7 +225,7 @@ j AS (SELECT a.SK_ID_CURR, a.TARGET, m.* EXCLUDE (SK_ID_CURR) FROM f_application
   SELECT SK_ID_CURR, count(*) AS c, avg(DPD_RATE) AS r, max(LATEST_MONTH) AS l,
     CASE WHEN max(MAX_DPD) > 90 THEN 'HIGH_RISK' WHEN max(EVER_DEMAND) = 1 OR max(MAX_DPD) > 30 THEN 'MEDIUM_RISK'
       WHEN avg(DPD_RATE) > 0.05 THEN 'LOW_MEDIUM_RISK' ELSE 'LOW_RISK' END AS s
-  FROM loan WHERE SK_ID_CURR % 3 <> 0 GROUP BY 1) m USING (SK_ID_CURR))
+  FROM loan GROUP BY 1) m USING (SK_ID_CURR))
 SELECT SK_ID_CURR, TARGET, coalesce(c, 0) AS POS_COUNT_LOANS_TOTAL, {columns((D, "coalesce(r, (SELECT median(r) FROM j), 0)", "POS_MEAN_DPD_RATE"))},
   coalesce(l, 0) AS POS_LATEST_MONTH, coalesce(s, 'NEW_CUSTOMER') AS POS_RISK_SEGMENT FROM j"""
 

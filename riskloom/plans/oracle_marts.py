@@ -403,12 +403,6 @@ _LINKAGE = [
     (I, n(f"{_is(_ST, 'Approved')} AND DAYS_DECISION > -365"), "PREV_RECENT_APPROVED_COUNT"),
     (D, f"max(AMT_CREDIT) FILTER (WHERE {_is(_ST, 'Approved')})", "PREV_LAST_APPROVED_AMOUNT"),
     (D, f"min(DAYS_DECISION) FILTER (WHERE {_is(_ST, 'Approved')})", "PREV_LAST_APPROVED_DAYS"),
-    (I, "0", "PART"),
-    (
-        S,
-        f"coalesce(string_agg(CAST(SK_ID_PREV AS VARCHAR), ',' ORDER BY SK_ID_PREV) FILTER (WHERE {_is(_ST, 'Approved')}), '')",
-        "PREV_APPROVED_LOAN_IDS",
-    ),
 ]
 _HIGH_IMPACT = [
     (I, "count(*)", "PREV_APP_COUNT"),
@@ -449,6 +443,7 @@ MARTS = {
     "mart_pos_cash_balance": pos_sql(loan_level=False),
     "mart_previous_application": _simple(_PV, _KEYED, _PREVIOUS, "f_previous_application"),
     "prev_linkage": _simple(_PV, _KEYED, _LINKAGE, "f_previous_application"),
+    "prev_approved_loans": with_views(_PV, "SELECT SK_ID_CURR, SK_ID_PREV FROM f_previous_application WHERE NAME_CONTRACT_STATUS = 'Approved'"),
     "prev_high_impact": _simple(_PV, _KEYED, _HIGH_IMPACT, "f_previous_application"),
 }
 

@@ -104,3 +104,19 @@ def test_numeric_key_guard(spark):
 
 def test_table_name():
     assert table_name("/data/POS_CASH balance.v2.csv") == "pos_cash_balance_v2"
+
+
+def test_decimals_of_any_length(spark):
+    cases = [(n, v) for n in (1, 8, 9, 16, 17, 40) for v in (5, -5, 100, -128)]
+    texts = [base64.b64encode(v.to_bytes(n, "big", signed=True)).decode() for n, v in cases]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r["d"] for r in df.select("i", cdc.decode_decimal("t", 2).alias("d")).collect()}
+    assert [got[i] for i in range(len(cases))] == [v / 100 for _, v in cases]
+    large = base64.b64encode((1 << 135).to_bytes(17, "big", signed=False)).decode()
+    assert spark.createDataFrame([(large,)], "t string").select(cdc.decode_decimal("t", 0)).first()[0] == -float(1 << 135)
+
+
+def test_every_numeric_column_is_averaged(spark):
+    df = spark.range(4).select(F.lit(1).alias("k"), *[(F.col("id") + i).alias(f"c{i}") for i in range(60)])
+    row = cards.numeric_averages(df, "k").first()
+    assert [row[f"cc_avg_c{i}"] for i in range(60)] == [i + 1.5 for i in range(60)]

@@ -64,13 +64,11 @@ def test_parts_bound_hot_groups(spark):
     assert parts.where("k <> 1 AND PART <> 0").isEmpty()
 
 
-def test_linkage_lists_stay_whole(spark, sf_dir):
+def test_linkage_totals_count_the_linked_loans(spark, sf_dir):
     table = view(spark, sf_dir, "previous_application")
-    whole = previous.linkage_features(table)
-    split = previous.linkage_features(table, max_ids=2)
-    assert split.count() > whole.count()
-    ids = lambda df: sorted(r[0] for r in df.select(F.explode("PREV_APPROVED_LOAN_IDS")).collect())
-    assert ids(split) == ids(whole)
+    totals, loans = previous.linkage_features(table), previous.approved_loans(table)
+    assert totals.count() == totals.select("SK_ID_CURR").distinct().count()
+    assert totals.agg(F.sum("PREV_APPROVED_COUNT")).first()[0] == loans.count()
 
 
 def _messages(spark, sf_dir, max_rows):
