@@ -101,7 +101,12 @@ def flatten(messages: DataFrame, value: str = "value", training_sign: bool = Fal
     out = [F.coalesce(F.col("row.sk_id_curr"), F.lit("")).alias("sk_id_curr"), *feature_columns("row", training_sign)]
     if stamp:
         out.append(F.unix_timestamp().cast("double").alias("ts"))
-    return rows.select(*out, "op", "ts_ms")
+    return rows.select(*out, "op", "ts_ms", *position(messages))
+
+
+def position(messages: DataFrame) -> list[str]:
+    """Columns that order changes of one millisecond, where the source has them."""
+    return [c for c in ("partition", "offset") if c in messages.columns]
 
 
 def rejects(messages: DataFrame, value: str = "value") -> DataFrame:

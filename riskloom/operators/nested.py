@@ -243,6 +243,19 @@ def split_features(parsed: DataFrame) -> DataFrame:
     )
 
 
+PART = ["sk_id_curr", "part", "parts", "bureau", "bureau_balance", "external_scores", "ts"]
+
+
+def sorted_out(parsed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Whole messages, parts of split customers with their ``part_key``, and the texts of
+    messages that cannot be read or name no customer."""
+    bad = F.col("_corrupt_record").isNotNull() | F.col("sk_id_curr").isNull()
+    several = F.coalesce(F.col("parts"), F.lit(1)) > 1
+    text = F.coalesce("_corrupt_record", F.to_json(F.struct(*PART))).alias("value")
+    key = F.concat_ws("|", "sk_id_curr", "part").alias("part_key")
+    return parsed.where(~bad & ~several), parsed.where(~bad & several).select(key, *PART), parsed.where(bad).select(text)
+
+
 def bureau_from_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """External features of every customer in ``messages``, single- or multi-part.
     (A stream that never splits customers can use ``nested_features`` alone.)"""

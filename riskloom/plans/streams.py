@@ -432,9 +432,9 @@ def stream_bureau_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "stream-bureau")
     texts = bureau_messages(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
     source = files.text_stream(spark, _spread(texts, f"{root}/in"))
-    jobs.bureau_features_job(source, f"{root}/features", f"{root}/checkpoint").awaitTermination()
-    schema = nested.bureau_from_messages(texts).schema
-    return store.read_latest(spark, f"{root}/features", schema, "sk_id_curr", ["ts"]).drop("ts", "error")
+    features, parts = f"{root}/features", f"{root}/parts"
+    jobs.bureau_features_job(source, features, parts, f"{root}/dead", f"{root}/checkpoint").awaitTermination()
+    return jobs.read_bureau_features(spark, features, parts).drop("ts", "error")
 
 
 def stream_feature_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -463,7 +463,7 @@ def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windowed message counts on the stream, with a watermark for late rows."""
     root = fresh_path(spark, "stream-throughput")
     log = view(spark, sf_dir, "status_log").select("status", "created_at")
-    log.repartition(1).write.parquet(f"{root}/in")
+    log.write.parquet(f"{root}/in")  # all files are one micro-batch, so no row is late
     source = spark.readStream.schema(log.schema).parquet(f"{root}/in")
     counted = (
         source.withWatermark("created_at", "10 minutes")

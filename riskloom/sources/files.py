@@ -131,7 +131,7 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, max_records: int
     )
     if max_records:
         reader = reader.option("maxOffsetsPerTrigger", max_records)
-    return reader.load().selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", "offset")
+    return reader.load().selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", "partition", "offset")
 
 
 def text_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.functions.cdc import cdc_key, cdc_op
 from riskloom.operators import cdc, enrich, nested
+from riskloom.operators.latest import latest_by
 from riskloom.streaming import store
 
 
@@ -28,7 +29,7 @@ def cdc_job(messages: DataFrame, features: str, dead_letters: str, checkpoint: s
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = cdc.flatten(batch)
-        store.write_batch(rows, batch_id, features, "sk_id_curr", ["ts_ms"])
+        store.write_batch(rows, batch_id, features, "sk_id_curr", ["ts_ms", *cdc.position(batch)])
         cdc.rejects(batch).write.mode("overwrite").parquet(f"{dead_letters}/batch_id={batch_id}")
 
     return start(messages, sink, checkpoint, **options)
@@ -52,15 +53,33 @@ def bureau_enrich_job(
     return start(messages, sink, checkpoint, **options)
 
 
-def bureau_features_job(messages: DataFrame, features: str, checkpoint: str, **options) -> StreamingQuery:
-    """Nested bureau messages to the external feature log."""
+def bureau_features_job(messages: DataFrame, features: str, parts: str, dead_letters: str, checkpoint: str, **options) -> StreamingQuery:
+    """Nested bureau messages to the external feature log. Parts of a split customer may
+    come in several batches and go to a log of their own, one row per customer and part;
+    unreadable messages are put aside, each with its text."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(nested.bureau_from_messages(batch), batch_id, features, "sk_id_curr", ["ts"])
+        whole, split, bad = nested.sorted_out(nested.parse_messages(batch))
+        store.write_batch(nested.nested_features(whole), batch_id, features, "sk_id_curr", ["ts"])
+        store.write_batch(split, batch_id, parts, "part_key", ["ts"])
+        bad.write.mode("overwrite").parquet(f"{dead_letters}/batch_id={batch_id}")
 
     return start(messages, sink, checkpoint, **options)
 
 
+def read_bureau_features(spark: SparkSession, features: str, parts: str) -> DataFrame:
+    """Newest external features of every customer, from whole messages or from all parts
+    that came with the customer's newest split message."""
+    parsed = nested.parse_messages(spark.createDataFrame([], "value string"))
+    whole, split, _ = nested.sorted_out(parsed)
+    schema = nested.nested_features(whole).schema
+    rows = store.read_latest(spark, parts, split.schema, "part_key", ["ts"]).drop("part_key")
+    newest = rows.groupBy("sk_id_curr").agg(F.max("ts").alias("ts"))
+    rows = rows.join(newest.withColumnRenamed("ts", "newest"), "sk_id_curr").where(F.col("ts").eqNullSafe(F.col("newest")))
+    both = store.read_latest(spark, features, schema, "sk_id_curr", ["ts"]).unionByName(nested.split_features(rows.drop("newest")))
+    return latest_by(both, "sk_id_curr", ["ts"])
+
+
 def warehouse_job(messages: DataFrame, marts: list[DataFrame], features: str, checkpoint: str, **options) -> StreamingQuery:
     """Change messages to the warehouse feature log."""
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.functions import cdc, decisions
-from riskloom.operators import enrich
+from riskloom.operators import cards, enrich
 from riskloom.sources.files import table_name
 
 

@@ -10,7 +10,10 @@ from riskloom.operators import enrich, nested, prepare, previous, quality, ranki
 from riskloom.operators.bureau import bureau_features
 from riskloom.operators.quantiles import exact_quantiles
 from riskloom.operators.skew import with_parts
+from riskloom.session import fresh_path
+from riskloom.sources import files
 from riskloom.sources.domain import view
+from riskloom.streaming import jobs
 
 
 @pytest.fixture(scope="module")
@@ -90,6 +93,18 @@ def test_split_messages_give_the_same_features(spark, sf_dir):
     assert _rounded(one) == _rounded(several)
 
 
+def test_split_customers_over_micro_batches(spark, sf_dir):
+    root = fresh_path(spark, "test-split")
+    whole = _messages(spark, sf_dir, 50_000).cache()
+    whole_rows = _rounded(nested.bureau_from_messages(whole))
+    texts = _messages(spark, sf_dir, 20).union(spark.createDataFrame([("{cut",), ("no json",), ('{"part": 0}',)], "value string"))
+    texts.repartition(3, F.xxhash64("value")).write.text(f"{root}/in")
+    paths = [f"{root}/{n}" for n in ("features", "parts", "dead")]
+    jobs.bureau_features_job(files.text_stream(spark, f"{root}/in"), *paths, f"{root}/check").awaitTermination()
+    assert _rounded(jobs.read_bureau_features(spark, *paths[:2])) == whole_rows
+    assert spark.read.parquet(paths[2]).count() == 3
+
+
 def test_nested_edge_messages(spark):
     texts = [
         '{"sk_id_curr": "1", "bureau": [], "bureau_balance": [], "external_scores": {"ext_source_1": "0.5"}, "ts": 1.0}',
