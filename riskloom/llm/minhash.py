@@ -21,7 +21,8 @@ Bands of coordinates are joined, and every pair is verified by exact Jaccard sim
    many. So members meet again in one bucket per leader and differing element, of which
    each enters only its rarest, as many as a pair with that many in common cannot miss.
    Buckets get new leaders; what is then still in another class than the largest of its
-   bucket is compared with all other classes there. Leaders of at most ``FEW`` members
+   bucket is compared with those of all other classes there that its place in the order
+   of elements does not rule out (see ``_left``). Leaders of at most ``FEW`` members
    have all members of different classes compared.
 
 So links inside a class are not all listed, but none that could join two classes is lost,
@@ -224,12 +225,13 @@ def _needed(differ: int, size: int, leader: int, open_: bool, t: float) -> int:
 
 
 def _differ(at_least: float):
-    """Elements in which two sets, or their counts, differ, and how many of them another
-    class must share; of counted elements one."""
+    """Elements in which two sets, or their counts, differ, how many of them another class
+    must share, their number and the size of the set; of counted elements one must be
+    shared, and the sizes are 0: they tell nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, need = [], []
+            out, need, size = [], [], []
             for a, na, b, nb, open_ in zip(*(batch.column(c).to_pylist() for c in ("items", "counts", "items2", "counts2", "open")), strict=True):
                 x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
                 if na:
@@ -237,12 +239,15 @@ def _differ(at_least: float):
                     same = both[np.frombuffer(na, np.uint32)[i] == np.frombuffer(nb, np.uint32)[j]]
                     out.append(np.setdiff1d(np.union1d(x, y), same, assume_unique=True).view(np.int64))
                     need.append(1)
+                    size.append((0, 0))
                 else:
                     out.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
                     need.append(_needed(len(out[-1]), len(x), len(y), open_, at_least))
+                    size.append((len(out[-1]), len(x)))
+            numbers = [pa.array(x, pa.int64()) for x in (need, [d for d, _ in size], [n for _, n in size])]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("u", "v", "label", "open")), pa.array(need, pa.int64()), pa.array(out, pa.list_(pa.int64()))],
-                names=["u", "v", "label", "open", "need", "elements"],
+                [*(batch.column(c) for c in ("u", "v", "degree", "label", "open")), *numbers, pa.array(out, pa.list_(pa.int64()))],
+                names=["u", "v", "degree", "label", "open", "need", "differ", "size", "elements"],
             )
 
     return run
@@ -276,16 +281,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heads = materialise(heads, "heads")
     member = heads.select("u", F.explode("bands").alias("band"))
     full = member.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    member = materialise(member.join(full, "band").select("band", "u", "n"), "members")
-    degree = materialise(member.groupBy("u").agg(F.sum("n").alias("degree")), "degree")
-    sets = texts.join(member.select("u").distinct().hint("merge"), "u", "left_semi").mapInArrow(_sets(words, weighting), "u long, items binary, counts binary")
+    # A list of at most `bands` buckets each, so that a member knows its degree without a join.
+    own = member.join(full, "band").groupBy("u").agg(F.sum("n").alias("degree"), F.collect_list("band").alias("shared"))
+    own = materialise(own, "shared")
+    member = own.select("u", "degree", F.explode("shared").alias("band"))
+    sets = texts.join(own.select("u").hint("merge"), "u", "left_semi").mapInArrow(_sets(words, weighting), "u long, items binary, counts binary")
     sets = materialise(sets, "sets")
-    tried = materialise(_led(member.select("band", "u"), degree, "band").select("u", "v").distinct(), "pairs")
+    tried = materialise(_led(member, "band").select("u", "v", "degree").distinct(), "pairs")
     links = materialise(_verified(tried, sets, at_least), "verified")
     labels = closed(links)
     few, parts = _parted(tried, labels, sets, at_least)
-    led = _led(parts, degree, "bucket")
-    for step in (lambda: few.union(_across(led, labels)), lambda: _left(parts, labels)):
+    tried = tried.select("u", "v")
+    led = _led(parts, "bucket")
+    for step in (lambda: few.union(_across(led, labels)), lambda: _left(parts, labels, at_least)):
         asked = step().select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         known = tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
         asked = materialise(asked.join(known, ["u", "v"], "left_anti"), "pairs")
@@ -307,9 +315,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.join(ids.select(F.col("_u").alias("_first"), F.col(id_col).alias("class_id")), "_first").select(id_col, "class_id", "class_size", "n_links")
 
 
-def _led(members: DataFrame, degree: DataFrame, key: str) -> DataFrame:
-    """Members of each bucket with its leader, v; the leader itself is left out."""
-    ranked = members.join(degree, "u").groupBy(key).agg(F.max(F.struct("degree", (-F.col("u")).alias("minus"))).alias("top"))
+def _led(members: DataFrame, key: str) -> DataFrame:
+    """Members of each bucket with its leader, v, the one of the highest degree; the leader
+    itself is left out."""
+    ranked = members.groupBy(key).agg(F.max(F.struct("degree", (-F.col("u")).alias("minus"))).alias("top"))
     return members.join(ranked.select(key, (-F.col("top.minus")).alias("v")), key).where("u <> v")
 
 
@@ -317,7 +326,7 @@ def _labelled(state: DataFrame, labels: DataFrame) -> DataFrame:
     """``state`` with the class of the member and whether the leader is in another."""
     named = state.join(labels, "u", "left").withColumn("label", F.coalesce("label", "u"))
     named = named.join(labels.select(F.col("u").alias("v"), F.col("label").alias("led")), "v", "left")
-    return named.select("u", "v", "label", (F.col("label") != F.coalesce("led", "v")).alias("open"))
+    return named.withColumn("open", F.col("label") != F.coalesce("led", "v")).drop("led")
 
 
 def _across(state: DataFrame, labels: DataFrame) -> DataFrame:
@@ -327,32 +336,41 @@ def _across(state: DataFrame, labels: DataFrame) -> DataFrame:
 def _parted(state: DataFrame, labels: DataFrame, sets: DataFrame, at_least: float) -> tuple[DataFrame, DataFrame]:
     """Of leaders v whose members u are in several classes: all pairs of different classes
     where the members are few, else the members by differing element (bucket, u)."""
-    named = _labelled(state, labels)
+    named = _labelled(state, labels)  # with the members' degrees
     mixed = named.groupBy("v").agg(F.max("open").alias("mixed"), F.count("*").alias("n")).where("mixed")
     rest = materialise(named.join(mixed.select("v", "n"), "v"), "mixed")
     small = rest.where(F.col("n") <= FEW).select("v", "u", "label")
     other = small.select("v", F.col("u").alias("w"), F.col("label").alias("other"))
     few = small.join(other, "v").where("u < w AND label <> other").select("u", F.col("w").alias("v"))
-    large = rest.where(F.col("n") > FEW).select("u", "v", "label", "open")
-    parts = _with_sets(large, sets).mapInArrow(_differ(at_least), "u long, v long, label long, open boolean, need long, elements array<long>")
-    parts = parts.select("v", "u", "label", "open", "need", F.explode("elements").alias("element"))
-    parts = materialise(parts.select(F.xxhash64("v", "element").alias("bucket"), "v", "u", "label", "open", "need"), "parts")
+    large = rest.where(F.col("n") > FEW).select("u", "v", "degree", "label", "open")
+    parts = _with_sets(large, sets).mapInArrow(_differ(at_least), "u long, v long, degree long, label long, open boolean, need long, differ long, size long, elements array<long>")
+    parts = parts.select("v", "u", "degree", "label", "open", "need", "differ", "size", F.explode("elements").alias("element"))
+    parts = materialise(parts.select(F.xxhash64("v", "element").alias("bucket"), "v", "u", "degree", "label", "open", "need", "differ", "size"), "parts")
     alive = parts.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("open").alias("open"), F.count("*").alias("n")).where("a <> b AND open")
     # A member's own elements make up a window, so it is no longer than its text.
     own = Window.partitionBy("v", "u")
     rarest = parts.drop("open").join(alive.select("bucket", "n"), "bucket")
     rarest = rarest.withColumn("rank", F.row_number().over(own.orderBy("n", "bucket"))).withColumn("all", F.count("*").over(own))
-    return few, materialise(rarest.where("rank <= `all` - need + 1").select("bucket", "u").distinct(), "members")
+    behind = (F.col("all") - F.col("rank")).alias("behind")
+    return few, materialise(rarest.where("rank <= `all` - need + 1").select("bucket", "u", "degree", "differ", "size", behind).distinct(), "members")
 
 
-def _left(parts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different classes that are still in one bucket, one of them outside its largest class."""
-    named = parts.join(labels, "u", "left").select("bucket", "u", F.coalesce("label", "u").alias("label"))
+def _left(parts: DataFrame, labels: DataFrame, at_least: float) -> DataFrame:
+    """Pairs of different classes that are still in one bucket, one of them outside its
+    largest class, and that can be similar.
+
+    Sets that differ from the leader in dA and dB elements, k of them shared, differ from
+    each other in dA + dB - 2 k; similar ones in at most c (|A| + |B|). All members have
+    their elements in one order, so in the first bucket that two share, k is at most one
+    more than what the shorter rest ``behind`` it holds."""
+    c = (1 - at_least) / (1 + at_least)
+    named = parts.join(labels, "u", "left").select("bucket", "u", "differ", "size", "behind", F.coalesce("label", "u").alias("label"))
     sizes = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("classes")).where("classes > 1")
     mixed = materialise(named.join(largest.select("bucket", F.col("top.label").alias("major")), "bucket"), "left")
-    minor = mixed.where("label <> major").select("bucket", F.col("u").alias("v"), F.col("label").alias("other"))
-    return minor.join(mixed, "bucket").where("label <> other").select("u", "v")
+    minor = mixed.where("label <> major").select("bucket", *(F.col(x).alias(y) for x, y in (("u", "v"), ("label", "other"), ("differ", "differ2"), ("size", "size2"), ("behind", "behind2"))))
+    possible = 2 * (1 + F.least("behind", "behind2")) >= F.col("differ") + F.col("differ2") - c * (F.col("size") + F.col("size2")) - 1e-6
+    return minor.join(mixed, "bucket").where(possible & (F.col("label") != F.col("other"))).select("u", "v")
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
