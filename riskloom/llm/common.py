@@ -7,6 +7,9 @@ another type) the rows are sorted once by (id, text), nulls first, and numbered.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -16,6 +19,7 @@ from pyspark.sql import types as T
 from riskloom.session import materialise
 
 TASK_BYTES = 16 << 20  # text that one group of a shuffle should hold
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
 
 
 def keyed(df: DataFrame, id_col: str, *columns: str) -> tuple[DataFrame, bool]:
@@ -77,6 +81,35 @@ def with_id(found: DataFrame, rows: DataFrame, plain: bool, id_col: str) -> Data
     return rows.select("_u", id_col).join(found, "_u").drop("_u")
 
 
+def give_back() -> None:
+    """Returns freed memory to the system. Python workers live on from task to task, so what
+    they hold without need still counts against their executor in the next stage."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` over batches, which gives memory back at its end."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
+def tidy_group(run: Callable) -> Callable:
+    """``run`` over one group's table, which gives memory back at its end."""
+
+    def whole(table: pa.Table) -> pa.Table:
+        out = run(table)
+        give_back()
+        return out
+
+    return whole
+
+
 def reduce_sum(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sums of ``values[starts[i]:starts[i + 1]]``; empty stretches give zero."""
     total = np.concatenate([np.zeros((1, *values.shape[1:]), values.dtype), np.cumsum(values, 0)])

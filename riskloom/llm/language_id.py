@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import flat, text_bytes
+from riskloom.llm.common import text_bytes, tidy
 
 PIECE = 30
 REMEMBER = 400_000  # words whose result a task keeps
@@ -230,4 +230,4 @@ def identify(docs: DataFrame, net: Network | None, columns: list[str], text_col:
     kept = docs.select(*columns).schema
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     rows = docs.select(*columns, text_bytes(text_col).alias("body"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
-    return rows.mapInArrow(_predict(net), f"{schema}, lang_pred string, score double")
+    return rows.mapInArrow(tidy(_predict(net)), f"{schema}, lang_pred string, score double")

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import keyed, text_bytes
+from riskloom.llm.common import keyed, text_bytes, tidy
 from riskloom.session import materialise
 
 BANDS, ROWS = 24, 5
@@ -276,7 +276,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of the document's text to other texts, as far as they were needed) of every document."""
     table, plain = keyed(docs, id_col, text_col)
     texts = table.select(F.col("_u").alias("u"), text_bytes(text_col).alias("body"))
-    sketch = materialise(texts.mapInArrow(_sketch(bands, rows, words, weighting), "u long, words binary, bands array<long>"), "sketch")
+    sketch = materialise(texts.mapInArrow(tidy(_sketch(bands, rows, words, weighting)), "u long, words binary, bands array<long>"), "sketch")
     heads = sketch.where("words is not null").groupBy("words").agg(F.min("u").alias("u"), F.first("bands").alias("bands"))
     heads = materialise(heads, "heads")
     member = heads.select("u", F.explode("bands").alias("band"))
@@ -285,7 +285,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = member.join(full, "band").groupBy("u").agg(F.sum("n").alias("degree"), F.collect_list("band").alias("shared"))
     own = materialise(own, "shared")
     member = own.select("u", "degree", F.explode("shared").alias("band"))
-    sets = texts.join(own.select("u").hint("merge"), "u", "left_semi").mapInArrow(_sets(words, weighting), "u long, items binary, counts binary")
+    sets = texts.join(own.select("u").hint("merge"), "u", "left_semi").mapInArrow(tidy(_sets(words, weighting)), "u long, items binary, counts binary")
     sets = materialise(sets, "sets")
     tried = materialise(_led(member, "band").select("u", "v", "degree").distinct(), "pairs")
     links = materialise(_verified(tried, sets, at_least), "verified")
@@ -343,7 +343,7 @@ def _parted(state: DataFrame, labels: DataFrame, sets: DataFrame, at_least: floa
     other = small.select("v", F.col("u").alias("w"), F.col("label").alias("other"))
     few = small.join(other, "v").where("u < w AND label <> other").select("u", F.col("w").alias("v"))
     large = rest.where(F.col("n") > FEW).select("u", "v", "degree", "label", "open")
-    parts = _with_sets(large, sets).mapInArrow(_differ(at_least), "u long, v long, degree long, label long, open boolean, need long, differ long, size long, elements array<long>")
+    parts = _with_sets(large, sets).mapInArrow(tidy(_differ(at_least)), "u long, v long, degree long, label long, open boolean, need long, differ long, size long, elements array<long>")
     parts = parts.select("v", "u", "degree", "label", "open", "need", "differ", "size", F.explode("elements").alias("element"))
     parts = materialise(parts.select(F.xxhash64("v", "element").alias("bucket"), "v", "u", "degree", "label", "open", "need", "differ", "size"), "parts")
     alive = parts.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("open").alias("open"), F.count("*").alias("n")).where("a <> b AND open")
@@ -380,4 +380,4 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, sets: DataFrame, at_least: float) -> DataFrame:
     both = _with_sets(pairs, sets).select("u", "v", "items", "counts", "items2", "counts2")
-    return both.mapInArrow(_verify(at_least), "u long, v long")
+    return both.mapInArrow(tidy(_verify(at_least)), "u long, v long")

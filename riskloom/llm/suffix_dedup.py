@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import buckets, flat, keyed, text_bytes, with_id
+from riskloom.llm.common import buckets, flat, keyed, text_bytes, tidy, tidy_group, with_id
 from riskloom.session import materialise
 
 GRAM = 48
@@ -490,16 +490,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows, plain = keyed(docs, id_col, text_col)
     texts = rows.select("_u", text_bytes(text_col).alias("body"))
     n = buckets(texts, F.length("body"))
-    parsed = texts.where(F.length("body") >= length).mapInArrow(_parse(length, n, sizes), "bucket int, kind int, blob binary")
-    settled = parsed.groupBy("bucket").applyInArrow(lambda t: _resolve(t, sizes.crowd), "b int, u long, a long, nw int, look byte")
+    parsed = texts.where(F.length("body") >= length).mapInArrow(tidy(_parse(length, n, sizes)), "bucket int, kind int, blob binary")
+    settled = parsed.groupBy("bucket").applyInArrow(tidy_group(lambda t: _resolve(t, sizes.crowd)), "b int, u long, a long, nw int, look byte")
     runs = settled.groupBy(F.col("u").alias("_u")).agg(F.collect_list(F.struct("b", "a", "nw", "look")).alias("runs"))
     schema = "kind int, bucket int, _u long, body binary, blob binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    looked = materialise(texts.join(runs, "_u", "left").mapInArrow(_compare(length, n, keep, sizes), schema), "phrases")
-    late = looked.where("kind >= 2").select("bucket", "kind", "body", "blob").groupBy("bucket").applyInArrow(_answer(length), "u long, a long, nw long")
+    looked = materialise(texts.join(runs, "_u", "left").mapInArrow(tidy(_compare(length, n, keep, sizes)), schema), "phrases")
+    late = looked.where("kind >= 2").select("bucket", "kind", "body", "blob").groupBy("bucket").applyInArrow(tidy_group(_answer(length)), "u long, a long, nw long")
     late = late.groupBy(F.col("u").alias("_u")).agg(F.collect_list(F.struct("a", "nw")).alias("late"))
     out = ["_u", "body", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     done = looked.where("kind = 0").select(*out)
     waited = looked.where("kind = 1").select("_u", "body", "blob").join(late, "_u", "left")
-    found = done.unionByName(waited.mapInArrow(_cut(length, keep), "_u long, body binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
+    found = done.unionByName(waited.mapInArrow(tidy(_cut(length, keep)), "_u long, body binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
     found = found.withColumnRenamed("body", "kept") if keep else found.drop("body")
     return with_id(found, rows, plain, id_col)
