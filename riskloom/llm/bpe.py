@@ -29,11 +29,13 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from riskloom.llm.common import text_bytes
+from riskloom.llm.common import text_bytes, tidy
 
+PORTION = 2 << 20  # bytes of text cut into stretches at a time
 REMEMBER = 600_000
 SHORT = 64
 #: White space of Unicode, for \s; fixed values.
@@ -308,10 +310,21 @@ def _memory(text: bytes, pattern: str) -> _Memory:
     return _Memory(Codec(_parsed(text), pattern))
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose last column holds about ``PORTION`` bytes together; a longer text comes alone."""
+    for batch in batches:
+        at = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(batch.column(batch.num_columns - 1)), np.int64))])
+        i = 0
+        while i < batch.num_rows:
+            j = max(i + 1, int(np.searchsorted(at, at[i] + PORTION, "right")) - 1)
+            yield batch.slice(i, j - i)
+            i = j
+
+
 def _run(rank_text: bytes, pattern: str, ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _memory(rank_text, pattern)
-        for batch in batches:
+        for batch in _portions(batches):
             out: list[list] = [[], [], [], []]
             texts = [stretches(body.decode()) for body in batch.column(batch.num_columns - 1).to_pylist()]
             memory.learn(set().union(*texts))
@@ -342,7 +355,7 @@ def tokenize(docs: DataFrame, ranks_path: str, pattern: str, columns: list[str],
     rows = docs.select(*columns, text_bytes(text_col).alias("_body"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
     made = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
-    return rows.mapInArrow(_run(rank_text, pattern, ids), f"{schema}, {made}")
+    return rows.mapInArrow(tidy(_run(rank_text, pattern, ids)), f"{schema}, {made}")
 
 
 def detokenize(rows: DataFrame, ranks_path: str, columns: list[str], ids_col: str = "ids") -> DataFrame:
