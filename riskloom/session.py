@@ -35,8 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="riskloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = context.getCheckpointDir() or tempfile.mkdtemp(prefix="riskloom-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root
