@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -68,3 +69,11 @@ def test_rows(spark):
     assert {(r["doc_id"], bytes(r["body"])) for r in back} == {(k, (t or "").encode()) for k, t, *_ in rows}
     assert all(hashlib.sha256(r["body"]).hexdigest() == r["decoded_sha256"] for r in back)
     assert B.tokenize(df.limit(0), PATH, P.PATTERN, ["doc_id"]).count() == 0
+
+
+def test_portions_hold_every_row_once(monkeypatch):
+    monkeypatch.setattr(B, "PORTION", 10)
+    sizes = [3, 3, 3, 3, 25, 0, 10, 1, 0]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sizes))), pa.array([b"x" * n for n in sizes], pa.binary())], names=["doc_id", "_body"])
+    parts = [p.column(0).to_pylist() for p in B._portions(iter([batch.slice(0, 0), batch, batch.slice(2, 3)]))]
+    assert parts == [[0, 1, 2], [3], [4], [5, 6], [7, 8], [2, 3], [4]]
