@@ -134,11 +134,11 @@ def phrases(data: np.ndarray, ends: np.ndarray, length: int):
     inside = np.arange(len(starts)) - np.repeat(first, np.diff(np.append(first, len(starts))))
     first = np.flatnonzero(inside % LONGEST == 0)
     count = np.diff(np.append(first, len(starts)))
-    # a gram is a trigger if it is the minimum of some window; two equal neighbours make a periodic phrase
+    # a gram is a trigger if it is the minimum of some window; two equal neighbours up to width apart share a run: a periodic phrase
     edge = np.zeros(width - 1, np.uint64)
     high = _slide(np.concatenate([edge, np.where(valid, low, 0).astype(np.uint64), edge]), width, np.maximum)
     trigger = np.flatnonzero(h == high[: len(h)])
-    twice = np.flatnonzero((h[trigger[1:]] == h[trigger[:-1]]) & (np.diff(trigger) < width))
+    twice = np.flatnonzero((h[trigger[1:]] == h[trigger[:-1]]) & (np.diff(trigger) <= width))
     own = np.zeros(len(first), bool)
     if len(twice):
         a = starts[first]

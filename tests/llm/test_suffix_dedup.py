@@ -61,6 +61,19 @@ def test_like_brute_force(spark, sizes):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_periods_near_the_width(spark):
+    """Lines whose repeats are as far apart as a window's grams reach, or one byte less or more."""
+    rng = np.random.default_rng(8)
+    word = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    rows = [(0, word(300))]
+    for size in (52, 53, 54):
+        for times in (3, 4, 5, 6):
+            for _ in range(5):
+                rows.append((len(rows), word(int(rng.integers(0, 80))) + (word(size - 1) + "\n") * times + word(int(rng.integers(0, 80)))))
+    rows += [(len(rows) + k, rows[k * 7 + 1][1]) for k in range(5)]
+    assert got(spark, rows) == sorted(brute(rows), key=repr)
+
+
 def test_repeated_and_null_ids(spark):
     rows = corpus()
     body, other = rows[3][1] * 3, rows[4][1] * 2
