@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.bpe import tokenize
 from riskloom.llm.common import held_out, keyed
 from riskloom.llm.decontaminate import decontaminate
-from riskloom.llm.language_id import fit, identify
+from riskloom.llm.language_id import fit, has_letter, identify
 from riskloom.llm.minhash import near_duplicates
 from riskloom.llm.suffix_dedup import remove_repeats, whole_text
 from riskloom.session import materialise
@@ -23,8 +23,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter or without text: no language can be told."""
+    """Rejects documents without a letter or without text: no language can be told. Where no
+    row is labelled there is no model, and documents with letters stay."""
     net = fit(docs, ~held_out("doc_id", 4))
+    if net is None:
+        return docs.select(*COLUMNS).where(has_letter())
     return identify(docs.select(*COLUMNS), net, COLUMNS).where("lang_pred <> 'und'").select(*COLUMNS)
 
 

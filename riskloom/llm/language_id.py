@@ -5,15 +5,16 @@ by byte in both directions and gives every byte a probability for each language;
 start anew at each word, so a word counts once per task however often it occurs. A
 document's probabilities are the mean over all bytes of all its words.
 
-Training is numpy, by backpropagation through time, on the driver, over a bounded sample:
-``docs_per_lang`` labelled documents of each of the ``max_langs`` most frequent languages
-(expected number, picked by a hash of the id), of whose distinct (language, word) pairs at
-most ``max_words`` come to the driver, again picked by hash. Held-out rows never train.
+Training is numpy, by backpropagation through time, on the driver, over a bounded sample of
+every language: ``docs_per_lang`` of its labelled documents (expected number, picked by a
+hash of id and text, at least one), whose words are cut into pieces of ``PIECE`` bytes; of
+the distinct pieces of each language an equal share of ``max_pieces``, though no less than
+``least_pieces``, comes to the driver, again picked by hash. Held-out rows never train.
 
 Defined cases: null text, or no letter: ``und`` with score 0; null languages and ids train
 and predict like others (a null language never trains); without any labelled row all are
-``und``; words over ``PIECE`` bytes are read in pieces; repeated rows give repeated
-results; other columns are ignored.
+``und``; a language whose labelled texts are all blank is not learned; words over ``PIECE``
+bytes are read in pieces; repeated rows give repeated results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,13 +25,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import text_bytes, tidy
+from riskloom.session import materialise
 
 PIECE = 30
 REMEMBER = 400_000  # words whose result a task keeps
+WIDE = 64  # with more languages than this, fewer words and rows are held at a time
+SLOTS = 1 << 30
 BLANK = 32
 
 
@@ -162,8 +166,9 @@ def word_sums(net: Network, words: list[bytes]) -> np.ndarray:
     pieces = [(i, w[k : k + PIECE]) for i, w in enumerate(words) for k in range(0, len(w), PIECE)]
     pieces.sort(key=lambda p: len(p[1]))
     out = np.zeros((len(words), len(net.langs) + 1))
-    for k in range(0, len(pieces), 4096):
-        part = pieces[k : k + 4096]
+    some = max(1, 4096 * WIDE // max(WIDE, len(net.langs)))
+    for k in range(0, len(pieces), some):
+        part = pieces[k : k + some]
         *_, inner, _, _, _, p = _positions(net, [w for _, w in part], False)
         owner = np.array([i for i, _ in part])
         np.add.at(out[:, :-1], owner, (p * inner[:, :, None]).sum(0))
@@ -171,38 +176,49 @@ def word_sums(net: Network, words: list[bytes]) -> np.ndarray:
     return out
 
 
-def fit(docs: DataFrame, train_rows: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", docs_per_lang: int = 400, max_langs: int = 64, max_words: int = 30_000, **options) -> Network | None:
+def _up_to(hashed: str, n: int, groups: list[Row]) -> Column:
+    """Whether ``hashed`` is among about ``n`` of its language's ``count``; its ``least`` always is."""
+    limits = [F.when(F.col("lang") == r["lang"], F.lit(max(r["least"] + 1, -(-SLOTS * n // r["count"])))) for r in groups]
+    while len(limits) > 1:  # a shallow tree
+        limits = [F.coalesce(*limits[k : k + 16]) for k in range(0, len(limits), 16)]
+    return F.col(hashed) < limits[0]
+
+
+def fit(docs: DataFrame, train_rows: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", docs_per_lang: int = 400, max_pieces: int = 30_000, least_pieces: int = 250, **options) -> Network | None:
     """The network for the rows of ``docs`` that ``train_rows`` picks; None without any."""
-    rows = docs.where(train_rows).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.abs(F.xxhash64(F.col(id_col).cast("string")) % 1_000_000).alias("h"))
-    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    if not sizes:
-        return None
-    part = F.coalesce(*(F.when(F.col("lang") == r["lang"], F.lit(-(-1_000_000 * docs_per_lang // r["count"]))) for r in sizes), F.lit(0))
-    picked = rows.where(F.col("h") < part)
-    words = picked.select("lang", F.explode(F.split("text", r"[\x09-\x0D ]+")).alias("word")).where("word <> ''")
-    sample = words.groupBy("lang", "word").count().orderBy(F.xxhash64("lang", "word"), "lang", "word").limit(max_words).collect()
-    if not sample:
+    slot = lambda *c: F.pmod(F.xxhash64(*c), F.lit(SLOTS))
+    sizes = [F.count(F.lit(1)).alias("count"), F.min("h").alias("least")]
+    rows = docs.where(train_rows).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), slot(F.col(id_col).cast("string"), F.col(text_col)).alias("h"))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"[^\x09-\x0D ]"))
+    found = rows.groupBy("lang").agg(*sizes).collect()
+    if not found:
         return None
-    langs = sorted({r["lang"] for r in sample})
-    texts, labels, counts = [], [], []
-    for r in sample:
-        word = r["word"].encode()
-        for k in range(0, len(word), PIECE):
-            texts.append(word[k : k + PIECE])
-            labels.append(langs.index(r["lang"]))
-            counts.append(r["count"])
-    return train(langs, texts, np.array(labels), np.array(counts, float), **options)
+    words = rows.where(_up_to("h", docs_per_lang, found)).select("lang", F.explode(F.split("text", r"[\x09-\x0D ]+").cast("array<binary>")).alias("word")).where(F.length("word") > 0)
+    cuts = F.transform(F.sequence(F.lit(1), F.length("word"), F.lit(PIECE)), lambda k: F.substring(F.col("word"), k, F.lit(PIECE)))
+    pieces = words.select("lang", F.explode(cuts).alias("piece")).groupBy("lang", "piece").count()
+    pieces = materialise(pieces.withColumn("h", slot("lang", "piece")), "pieces")
+    share = max(least_pieces, max_pieces // len(found))
+    sample = pieces.where(_up_to("h", share, pieces.groupBy("lang").agg(*sizes).collect())).orderBy("h", "lang", "piece").collect()
+    langs = sorted(r["lang"] for r in found)
+    place = {lang: k for k, lang in enumerate(langs)}
+    labels, counts = np.array([place[r["lang"]] for r in sample]), np.array([r["count"] for r in sample], float)
+    return train(langs, [bytes(r["piece"]) for r in sample], labels, counts, **options)
+
+
+def has_letter(text_col: str = "text") -> Column:
+    return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
 
 
 def _predict(net: Network | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
         table = np.zeros((0, len(net.langs) + 1 if net else 1))
-        for batch in batches:
+        wide = max(WIDE, len(net.langs) if net else 0)
+        step = max(1, 10_000 * WIDE // wide)
+        for batch in (b.slice(k, step) for b in batches for k in range(0, b.num_rows, step)):
             bodies, lettered = batch.column("body").to_pylist(), batch.column("lettered").to_pylist()
             counts = [Counter(b.split()) if ok and net else Counter() for b, ok in zip(bodies, lettered, strict=True)]
-            if len(seen) > REMEMBER:
+            if len(seen) > REMEMBER * WIDE // wide:
                 seen, table = {}, table[:0]
             fresh = list(dict.fromkeys(w for c in counts for w in c if w not in seen))
             if fresh:
@@ -229,5 +245,5 @@ def identify(docs: DataFrame, net: Network | None, columns: list[str], text_col:
     """``columns`` of every document with lang_pred and score."""
     kept = docs.select(*columns).schema
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    rows = docs.select(*columns, text_bytes(text_col).alias("body"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
+    rows = docs.select(*columns, text_bytes(text_col).alias("body"), has_letter(text_col).alias("lettered"))
     return rows.mapInArrow(tidy(_predict(net)), f"{schema}, lang_pred string, score double")

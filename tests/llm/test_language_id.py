@@ -59,3 +59,53 @@ def test_odd_rows(spark):
     assert L.fit(df.limit(0), F.lit(True)) is None
     assert {r["lang_pred"] for r in L.identify(df, None, ["doc_id"]).collect()} == {"und"}
     assert L.identify(df.limit(0), net, ["doc_id"]).count() == 0
+
+
+def _learned(monkeypatch, df, **options):
+    """What fit hands to training: its languages, and (language, piece) with counts."""
+    seen = {}
+
+    def train(langs, words, labels, counts):
+        seen.update(langs=langs, pieces={(langs[k], w): n for k, w, n in zip(labels, words, counts, strict=True)})
+
+    monkeypatch.setattr(L, "train", train)
+    L.fit(df, F.lit(True), **options)
+    return seen
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    rich = [(k, " ".join(f"w{k}x{j}" for j in range(200)), "rich") for k in range(200)]
+    rare = [(1000 + k, f"wort{k} und", f"l{k:02}") for k in range(80)]
+    same = [(7, "one text of one id", "same")] * 3000
+    blank = [(5000, " \n\t", "blank"), (5001, "no label", None)]
+    df = spark.createDataFrame(rich + rare + same + blank, "doc_id long, text string, lang string")
+    seen = _learned(monkeypatch, df)
+    assert seen["langs"] == sorted({*(r[2] for r in rich + rare + same)})
+    for _, text, lang in rare + same[:1]:
+        assert {w for at, w in seen["pieces"] if at == lang} == {w.encode() for w in text.split()}
+    assert seen["pieces"]["same", b"text"] == 3000
+    assert 250 < sum(at == "rich" for at, _ in seen["pieces"]) < 500
+
+
+def test_long_words_are_cut_before_the_draw(spark, monkeypatch):
+    body = "".join(chr(0x4E00 + k % 3000) for k in range(200_000))
+    df = spark.createDataFrame([(1, body, "zh"), (2, "é" * 40 + " é", "fr")], "doc_id long, text string, lang string")
+    seen = _learned(monkeypatch, df, max_pieces=400, least_pieces=100)
+    pieces = [w for at, w in seen["pieces"] if at == "zh"]
+    assert 100 < len(pieces) < 300 and all(len(w) <= L.PIECE for w in pieces)
+    assert {w: n for (at, w), n in seen["pieces"].items() if at == "fr"} == {("é" * 15).encode(): 2, ("é" * 10).encode(): 1, "é".encode(): 1}
+
+
+def test_many_languages_in_parts(spark):
+    rng = np.random.default_rng(2)
+    net = L._start([f"l{k:03}" for k in range(700)], 4, rng)
+    df = spark.createDataFrame([(k, f"some words {k}") for k in range(2500)], "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"] for r in L.identify(df, net, ["doc_id"]).collect()} == set(range(2500))
+
+
+def test_stage_without_labels_keeps_texts(spark):
+    from corpus_pipeline import language
+
+    rows = [(1, "a text", None, "s", 6), (2, "12 --", None, "s", 5), (3, None, None, "s", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert [tuple(r) for r in language(spark, df, "").collect()] == rows[:1]
