@@ -3,7 +3,7 @@
 Components become integers, floor(scale * x), so scores are exact and ties are real. Rows
 are dealt into shards by a hash of their id and queries into blocks; every block meets
 every shard (a stated query set against all rows, in blocks). A shard collapses equal
-vectors, keeping the smallest k + 1 ids of each, splits at the median of the widest
+vectors, with the ids of each in order, splits at the median of the widest
 dimension down to ``LEAF`` vectors, and keeps tight bounding boxes. A query walks the
 nodes best first, by the bound of its inner product with any point of the box,
 sum(max(q * low, q * high)), and stops when the bound is under its kth best score so far.
@@ -36,14 +36,14 @@ EXACT = 2**53
 class Tree:
     """Distinct integer vectors of a shard in median-split order, with boxes."""
 
-    def __init__(self, vectors: np.ndarray, ids: np.ndarray, k: int) -> None:
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray) -> None:
         order = np.lexsort((ids, *vectors.T[::-1]))
         vectors, ids = vectors[order], ids[order]
         new = np.ones(len(ids), bool)
         new[1:] = (vectors[1:] != vectors[:-1]).any(1)
         head = np.flatnonzero(new)
         size = np.diff(np.append(head, len(ids)))
-        self.ids = [ids[a : a + min(n, k + 1)] for a, n in zip(head, size, strict=True)]
+        self.ids = [ids[a : a + n] for a, n in zip(head, size, strict=True)]
         points = vectors[head]
         self.order = np.arange(len(points))
         self.nodes: list[tuple[int, int, int, int]] = []  # first, end, left child, right child
@@ -90,10 +90,13 @@ class Tree:
                 score = points[a:b] @ q[i]
                 for j in np.flatnonzero(score >= kth) if kth is not None else range(b - a):
                     s = int(score[j])
-                    for x in self.ids[a + j]:
-                        if x == own[i]:
+                    ids, at = self.ids[a + j], 0
+                    while at < len(ids):
+                        if ids[at] == own[i]:  # all rows of the query's id
+                            at = int(ids.searchsorted(own[i], "right"))
                             continue
-                        entry = (s, -int(x))
+                        entry = (s, -int(ids[at]))
+                        at += 1
                         if len(best) < k:
                             heapq.heappush(best, entry)
                         elif entry > best[0]:
@@ -118,7 +121,7 @@ def _search(k: int):
         rows: list[tuple] = []
         if len(points) and len(queries):
             width = max(1, points["v"].map(len).max(), queries["v"].map(len).max())
-            tree = Tree(_matrix(points["v"], width), points["id"].to_numpy(np.int64), k)
+            tree = Tree(_matrix(points["v"], width), points["id"].to_numpy(np.int64))
             floor = [None if pd.isna(x) else int(x) for x in queries["floor"]]
             for a in range(0, len(queries), 1024):
                 part = queries.iloc[a : a + 1024]

@@ -34,3 +34,13 @@ def test_few_and_empty(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (0, [5.0])], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, top_k(df, F.col("vec_id") % 50 == 0).collect())) == [(0, 1, 1, 256 * 512), (0, 1, 1, 5 * 256 * 512)]
     assert top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+@pytest.mark.parametrize("shard_rows, block_rows", [(10_000, 10_000), (5, 2)])
+@pytest.mark.parametrize("repeats", [1, 2, 3, 6, 20])
+def test_repeated_query_among_copies(spark, repeats, shard_rows, block_rows):
+    near, far = [1.0, 0.5], [0.25, 0.25]
+    rows = [(50, near)] * repeats + [(j, near) for j in (51, 52, 53, 53, 54, 55)] + [(100, near)] * 2 + [(j, far) for j in range(10, 20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = top_k(df, F.col("vec_id") % 50 == 0, shard_rows=shard_rows, block_rows=block_rows)
+    assert sorted(map(tuple, got.collect())) == brute(rows)
