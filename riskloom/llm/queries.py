@@ -64,7 +64,7 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
+    return token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1, spelled=False)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

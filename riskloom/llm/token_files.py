@@ -10,7 +10,7 @@ table and reach any store.
 
 The tokenizer sees each distinct word once per batch: its normalizer and pattern never join
 what white space parts, so a text's ids are those of its words, one after the other. A task
-remembers the ids of at most ``REMEMBER`` words.
+remembers the ids of at most ``REMEMBER`` words. Special tokens hold no white space either.
 
 Places in the whole corpus need one number per partition; their running sum is a window
 over as many rows as there are partitions.
@@ -116,18 +116,18 @@ def segments(data: bytes) -> Iterator[Segment]:
 
 
 @functools.lru_cache(maxsize=2)
-def _tokenizer(text: str):
+def _tokenizer(text: str, spelled: bool):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_str(text)
-    made.encode_special_tokens = True
+    made.encode_special_tokens = spelled
     return made, {}
 
 
-def _encode(json_text: str, end_id: int):
+def _encode(json_text: str, end_id: int, spelled: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, known = _tokenizer(json_text)
+        tokenizer, known = _tokenizer(json_text, spelled)
         part, number, before = TaskContext.get().partitionId(), 0, 0
         end = np.array([end_id], "<u4").tobytes()
         for whole in batches:
@@ -149,13 +149,13 @@ def _encode(json_text: str, end_id: int):
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, key_col: str = "_u", text_col: str = "text") -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, key_col: str = "_u", text_col: str = "text", spelled: bool = True) -> None:
     """Files of ``docs`` in order of the long ``key_col``, which must be unique."""
     with open(tokenizer_path, encoding="utf-8") as f:
         json_text = f.read()
     rows = docs.select(F.col(key_col).alias("u"), text_bytes(text_col).alias("body"))
     ranged = rows.repartitionByRange("u").sortWithinPartitions("u")
-    blobs = ranged.mapInArrow(_encode(json_text, end_id), "blob binary")
+    blobs = ranged.mapInArrow(_encode(json_text, end_id, spelled), "blob binary")
     blobs.select(F.col("blob").cast("string").alias("value")).write.text(path)
 
 
@@ -180,9 +180,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(totals.select("part", before.alias("before")), "part").select(F.col("u").alias("_u"), (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def token_files(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Writes the files to the shared folder and returns what they hold, per document."""
+def token_files(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", spelled: bool = True) -> DataFrame:
+    """Writes the files to the shared folder and returns what they hold, per document.
+    ``spelled``: a special token in a text is spelled out; otherwise it has its own id, as
+    the library's encoding with the file alone gives it."""
     table, plain = keyed(docs, id_col, text_col)
     path = fresh_path(docs.sparkSession, "tokens")
-    write_tokens(table, path, tokenizer_path, end_id, "_u", text_col)
+    write_tokens(table, path, tokenizer_path, end_id, "_u", text_col, spelled)
     return with_id(read_tokens(docs.sparkSession, path), table, plain, id_col)

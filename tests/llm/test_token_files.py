@@ -62,3 +62,18 @@ def test_equal_and_null_ids(spark):
 
 def test_empty(spark):
     assert T.token_files(spark.createDataFrame([], "doc_id long, text string"), PATH, 1).count() == 0
+
+
+def test_query_like_the_file_alone(spark, tmp_path):
+    """The registered query against the library with nothing set."""
+    from riskloom.llm.queries import op9_token_files
+
+    plain, text = Tokenizer.from_file(PATH), ODD + ["a<|endoftext|>b", "x <|startoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endoftext|", "é<|endoftext|>́ c", "<|endoftext|>\u00a0<|startoftext|>\u3000."]
+    spark.createDataFrame(list(enumerate(text)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    start, out = 0, []
+    for i, t in enumerate(text):
+        ids = [*plain.encode(t or "", add_special_tokens=False).ids, 1]
+        out.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert plain.encode("a<|endoftext|>b", add_special_tokens=False).ids[1] == 49407
+    assert sorted(map(tuple, op9_token_files(spark, str(tmp_path)).collect())) == out
