@@ -272,8 +272,9 @@ def closed(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, at_least: float = 0.8, weighting: str = "set", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``id_col``, class_id (smallest id of the class), class_size and n_links (verified links
-    of the document's text to other texts, as far as they were needed) of every document."""
+    """``id_col``, class_id (smallest id of the class), class_size and links_checked of every document.
+    The last are the links of the document's text that were verified to close its class, not
+    all it has: in a large class most texts were only compared with a leader."""
     table, plain = keyed(docs, id_col, text_col)
     texts = table.select(F.col("_u").alias("u"), text_bytes(text_col).alias("body"))
     sketch = materialise(texts.mapInArrow(tidy(_sketch(bands, rows, words, weighting)), "u long, words binary, bands array<long>"), "sketch")
@@ -302,17 +303,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if not more.isEmpty():
             links = materialise(links.union(more), "verified")
             labels = closed(links)
-    ends = links.select("u").union(links.select(F.col("v").alias("u"))).groupBy("u").agg(F.count("*").alias("n_links"))
-    known = heads.select("words", "u").join(labels, "u", "left").join(ends, "u", "left").select("words", F.coalesce("label", "u").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    placed = sketch.select("u", "words").join(known, "words", "left").select(F.col("u").alias("_u"), F.coalesce("label", "u").alias("_first"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    ends = links.select("u").union(links.select(F.col("v").alias("u"))).groupBy("u").agg(F.count("*").alias("links_checked"))
+    known = heads.select("words", "u").join(labels, "u", "left").join(ends, "u", "left").select("words", F.coalesce("label", "u").alias("label"), F.coalesce("links_checked", F.lit(0)).alias("links_checked"))
+    placed = sketch.select("u", "words").join(known, "words", "left").select(F.col("u").alias("_u"), F.coalesce("label", "u").alias("_first"), F.coalesce("links_checked", F.lit(0)).cast("long").alias("links_checked"))
     sizes = placed.groupBy("_first").agg(F.count("*").alias("class_size"))
     found = placed.join(sizes, "_first")
     if plain:
         kind = docs.schema[id_col].dataType
-        return found.select(F.col("_u").cast(kind).alias(id_col), F.col("_first").cast(kind).alias("class_id"), "class_size", "n_links")
+        return found.select(F.col("_u").cast(kind).alias(id_col), F.col("_first").cast(kind).alias("class_id"), "class_size", "links_checked")
     ids = table.select("_u", id_col)
     out = ids.join(found, "_u")
-    return out.join(ids.select(F.col("_u").alias("_first"), F.col(id_col).alias("class_id")), "_first").select(id_col, "class_id", "class_size", "n_links")
+    return out.join(ids.select(F.col("_u").alias("_first"), F.col(id_col).alias("class_id")), "_first").select(id_col, "class_id", "class_size", "links_checked")
 
 
 def _led(members: DataFrame, key: str) -> DataFrame:

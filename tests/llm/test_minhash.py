@@ -99,3 +99,8 @@ def test_signatures_estimate_weighted_jaccard():
         doc = np.repeat([0, 1], 60)
         sig = M.signatures(doc, np.array([*a, *b], np.uint64), np.array([*a.values(), *b.values()]), 2, k)
         assert abs((sig[0] == sig[1]).mean() - want) < 0.05
+
+
+def test_links_are_named_for_what_they_are(spark):
+    df = spark.createDataFrame([(k, "one text that all share " * 9 + f"end {k}") for k in range(9)], "doc_id long, text string")
+    assert M.near_duplicates(df).columns == ["doc_id", "class_id", "class_size", "links_checked"]
