@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from riskloom.session import materialise
 
 TASK_BYTES = 16 << 20  # text that one group of a shuffle should hold
+PORTION = 4 << 20  # text that a task looks at together
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
 
 
@@ -89,6 +91,17 @@ def give_back() -> None:
         _TRIM(0)
 
 
+def portions(batches: Iterator[pa.RecordBatch], size: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """Rows whose last column, of bytes, holds about ``size`` together; a longer value comes alone."""
+    for batch in batches:
+        at = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(batch.column(batch.num_columns - 1)), np.int64))])
+        i = 0
+        while i < batch.num_rows:
+            j = max(i + 1, int(np.searchsorted(at, at[i] + size, "right")) - 1)
+            yield batch.slice(i, j - i)
+            i = j
+
+
 def tidy(run: Callable) -> Callable:
     """``run`` over batches, which gives memory back at its end."""
 
