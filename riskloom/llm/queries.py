@@ -12,6 +12,7 @@ from riskloom.llm.decontaminate import decontaminate
 from riskloom.llm.language_id import fit, identify
 from riskloom.llm.minhash import near_duplicates
 from riskloom.llm.oracles import ORACLES
+from riskloom.llm.packing import pack
 from riskloom.llm.periodic import digests, periodic_runs
 from riskloom.llm.ppm import score
 from riskloom.llm.suffix_dedup import remove_repeats
@@ -75,10 +76,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(rows, net, ["doc_id", "held_out"])
 
 
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1, ids=False)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(periodic_runs(_table(spark, sf_dir, "documents"), plant=True))
 
 
-_ALL = (op1_url_filter, op2_suffix_dedup, op3_byte_bpe, op4_ppm_score, op5_minhash_near_dedup, op6_warc, op7_decontaminate, op8_exact_topk, op9_token_files, op10_language_id, op13_periodic_runs)
+_ALL = (op1_url_filter, op2_suffix_dedup, op3_byte_bpe, op4_ppm_score, op5_minhash_near_dedup, op6_warc, op7_decontaminate, op8_exact_topk, op9_token_files, op10_language_id, op12_best_fit_packing, op13_periodic_runs)
 QUERIES = {f.__name__: f for f in _ALL}
 __all__ = ["ORACLES", "QUERIES"]
