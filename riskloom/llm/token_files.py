@@ -8,9 +8,9 @@ so a document's ids are read without unpacking others. Files are written by Spar
 writer (one row per segment, a line feed behind it) and read whole, so they commit like a
 table and reach any store.
 
-The tokenizer sees each distinct word once per batch: its normalizer and pattern never join
-what white space parts, so a text's ids are those of its words, one after the other. A task
-remembers the ids of at most ``REMEMBER`` words. Special tokens hold no white space either.
+A segment holds the documents of about ``common.PORTION`` bytes of text; words are encoded
+once per task (``words``). A file holds ``FILE_SEGMENTS`` segments at most, so none outgrows
+what a reader takes whole.
 
 Places in the whole corpus need one number per partition; their running sum is a window
 over as many rows as there are partitions.
@@ -21,8 +21,6 @@ of text; other columns are ignored; an empty table gives no segments and no rows
 
 from __future__ import annotations
 
-import functools
-import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -33,12 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import keyed, text_bytes, with_id
+from riskloom.llm.common import keyed, portions, text_bytes, tidy, with_id
+from riskloom.llm.words import WordEncoder
 from riskloom.session import fresh_path
 
 BLOCK = 4096
 PERCENTILE = 95
-REMEMBER = 900_000
+FILE_SEGMENTS = 64
 MAGIC = b"PFOR\x01"
 _HEAD = struct.Struct("<IIQIQI")  # partition, segment, ids before it in the partition, documents, ids, blocks
 _BLOCK = struct.Struct("<IBHH")  # minimum, width, exceptions, ids
@@ -115,36 +114,20 @@ def segments(data: bytes) -> Iterator[Segment]:
         at = segment.end + 1  # the line feed
 
 
-@functools.lru_cache(maxsize=2)
-def _tokenizer(text: str, spelled: bool):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    made = Tokenizer.from_str(text)
-    made.encode_special_tokens = spelled
-    return made, {}
-
-
 def _encode(json_text: str, end_id: int, spelled: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, known = _tokenizer(json_text, spelled)
+        encoder = WordEncoder(json_text, spelled)
         part, number, before = TaskContext.get().partitionId(), 0, 0
         end = np.array([end_id], "<u4").tobytes()
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
-                batch = whole.slice(at, 2048)
-                words = [b.split() for b in batch.column(1).to_pylist()]
-                if len(known) > REMEMBER:
-                    known.clear()
-                fresh = list({w for doc in words for w in doc if w not in known})
-                for w, e in zip(fresh, tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False), strict=True):
-                    known[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-                bodies = [b"".join(map(known.__getitem__, doc)) + end for doc in words]
-                sizes = np.array([len(b) // 4 for b in bodies], np.int64)
-                ids = np.frombuffer(b"".join(bodies), "<u4")
-                blob = pack_segment(part, number, before, np.asarray(batch.column(0)), sizes, ids)
-                number, before = number + 1, before + len(ids)
-                yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["blob"])
+        for batch in portions(batches):
+            bodies = batch.column(1).to_pylist()
+            coded = [encoder.encode_long(bodies[0])] if len(bodies) == 1 else encoder.encode(bodies)
+            bodies = [b + end for b in coded]
+            sizes = np.array([len(b) // 4 for b in bodies], np.int64)
+            ids = np.frombuffer(b"".join(bodies), "<u4")
+            blob = pack_segment(part, number, before, np.asarray(batch.column(0)), sizes, ids)
+            number, before = number + 1, before + len(ids)
+            yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["blob"])
 
     return run
 
@@ -155,8 +138,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, k
         json_text = f.read()
     rows = docs.select(F.col(key_col).alias("u"), text_bytes(text_col).alias("body"))
     ranged = rows.repartitionByRange("u").sortWithinPartitions("u")
-    blobs = ranged.mapInArrow(_encode(json_text, end_id, spelled), "blob binary")
-    blobs.select(F.col("blob").cast("string").alias("value")).write.text(path)
+    blobs = ranged.mapInArrow(tidy(_encode(json_text, end_id, spelled)), "blob binary")
+    blobs.select(F.col("blob").cast("string").alias("value")).write.option("maxRecordsPerFile", FILE_SEGMENTS).text(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +157,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files: ``_u``, start (ids before it in the corpus), n_tokens, ids_crc32."""
     files = spark.read.format("binaryFile").load(path).select("content")
-    rows = files.mapInArrow(_read, "part long, u long, place long, n_tokens long, ids_crc32 long")
+    rows = files.mapInArrow(tidy(_read), "part long, u long, place long, n_tokens long, ids_crc32 long")
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return rows.join(totals.select("part", before.alias("before")), "part").select(F.col("u").alias("_u"), (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
