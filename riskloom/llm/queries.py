@@ -15,6 +15,7 @@ from riskloom.llm.oracles import ORACLES
 from riskloom.llm.packing import pack
 from riskloom.llm.periodic import digests, periodic_runs
 from riskloom.llm.ppm import score
+from riskloom.llm.repair import damage, repair
 from riskloom.llm.suffix_dedup import remove_repeats
 from riskloom.llm.token_files import token_files
 from riskloom.llm.topk import top_k
@@ -76,6 +77,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(rows, net, ["doc_id", "held_out"])
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damage(_table(spark, sf_dir, "conversations")))
+
+
 def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1, ids=False)
 
@@ -84,6 +89,6 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(periodic_runs(_table(spark, sf_dir, "documents"), plant=True))
 
 
-_ALL = (op1_url_filter, op2_suffix_dedup, op3_byte_bpe, op4_ppm_score, op5_minhash_near_dedup, op6_warc, op7_decontaminate, op8_exact_topk, op9_token_files, op10_language_id, op12_best_fit_packing, op13_periodic_runs)
+_ALL = (op1_url_filter, op2_suffix_dedup, op3_byte_bpe, op4_ppm_score, op5_minhash_near_dedup, op6_warc, op7_decontaminate, op8_exact_topk, op9_token_files, op10_language_id, op11_conversation_repair, op12_best_fit_packing, op13_periodic_runs)
 QUERIES = {f.__name__: f for f in _ALL}
 __all__ = ["ORACLES", "QUERIES"]
