@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import json
-import random
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,25 +78,6 @@ def importances(model: PipelineModel, names: list[str]) -> list[tuple[str, float
     return sorted(zip(names, (float(v) for v in values)), key=lambda e: (-e[1], e[0]))
 
 
-def tune(
-    train: DataFrame, pipeline: Pipeline, grid: dict[str, list], label: str = TARGET, folds: int = 3, parallelism: int = 4,
-    candidates: int | None = None, seed: int = 42,
-):
-    """Cross-validated search over the tree parameters named in ``grid``: all combinations,
-    or as many random ones as ``candidates`` says."""
-    trees = pipeline.getStages()[-1]
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(trees.getParam(name), values)
-    maps = builder.build()
-    if candidates is not None and candidates < len(maps):
-        maps = random.Random(seed).sample(maps, candidates)
-    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction")
-    return CrossValidator(
-        estimator=pipeline, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, seed=seed, parallelism=parallelism,
-    ).fit(train)
-
-
 def fit_stacking(df: DataFrame, models: list[str], label: str = TARGET) -> PipelineModel:
     """Logistic regression over the models' scores."""
     stages = [

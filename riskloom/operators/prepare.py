@@ -215,17 +215,36 @@ def label_encode(df: DataFrame, columns: list[str], absent: str = "Unknown") ->
     return encode(filled, materialise(category_codes(filled, columns), "codes"), columns)
 
 
-def assign_split(df: DataFrame, key: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
-    """Add ``split``: train or test by a hash of the key. The choice depends on the
-    key alone, so it is the same for every class, run and partitioning."""
-    digest = F.substring(F.md5(F.concat(col(key).cast("string"), F.lit(f"|{seed}"))), 1, 8)
-    point = F.pmod(F.conv(digest, 16, 10).cast("bigint"), F.lit(10_000))
-    return df.withColumn("split", F.when(point < int(test_share * 10_000), "test").otherwise("train"))
+def class_order(df: DataFrame, key: str, label: str = TARGET, seed: int = 42) -> DataFrame:
+    """Add ``place``, the 0-based place of a row in its class by a hash of the key, and
+    ``class_rows``. Places are counted inside 65,536 ranges of the hash on top of the rows
+    of the ranges before, so no task sees a class. A NULL label is a class; keys are unique."""
+    digest = F.substring(F.md5(F.concat(F.coalesce(col(key).cast("string"), F.lit("")), F.lit(f"|{seed}"))), 1, 8)
+    hashed = df.withColumn("_hash", F.conv(digest, 16, 10).cast("bigint")).withColumn("_range", F.shiftright("_hash", 16))
+    of_class = Window.partitionBy(label)
+    before = of_class.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = hashed.groupBy(label, "_range").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col(label).alias("_class"),
+        F.col("_range").alias("_of"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"),
+        F.sum("n").over(of_class).alias("class_rows"),
+    )
+    within = F.row_number().over(Window.partitionBy(label, "_range").orderBy("_hash", key)) - 1
+    same = F.col(label).eqNullSafe(F.col("_class")) & (F.col("_range") == F.col("_of"))
+    placed = hashed.withColumn("_within", within).join(ranges, same)
+    return placed.select(*df.columns, (F.col("_before") + F.col("_within")).alias("place"), "class_rows")
+
+
+def assign_split(df: DataFrame, key: str, label: str = TARGET, test_share: float = 0.2, seed: int = 42) -> DataFrame:
+    """Add ``split``: the rows of each class with the smallest hashes of the key are the test
+    part, its share of the class to the nearest row."""
+    test = F.col("place") < F.floor(F.col("class_rows") * F.lit(test_share) + 0.5)
+    return class_order(df, key, label, seed).withColumn("split", F.when(test, "test").otherwise("train")).drop("place", "class_rows")
 
 
-def split_balance(df: DataFrame, label: str = TARGET) -> DataFrame:
-    """Rows of each class in each part, to see how even the split came out."""
-    return df.groupBy("split", label).agg(F.count(F.lit(1)).alias("rows"))
+def split_balance(df: DataFrame, key: str, label: str = TARGET) -> DataFrame:
+    """Rows of each class in each part, and the sum of their keys, which tells which they are."""
+    return df.groupBy("split", label).agg(F.count(F.lit(1)).alias("rows"), F.sum(col(key).cast("long")).alias("key_sum"))
 
 
 def class_balance(df: DataFrame, label: str = TARGET) -> DataFrame:

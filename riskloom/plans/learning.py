@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.numeric import col
-from riskloom.operators import application, bureau, cards, evaluation, models, pos, prepare, previous, quality, ranking
+from riskloom.operators import application, boosting, bureau, cards, evaluation, models, pos, prepare, previous, quality, ranking
 from riskloom.operators.reports import KEY
 from riskloom.plans.marts import over
 from riskloom.session import fresh_path, materialise
@@ -230,13 +230,13 @@ def train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return auc.unionByName(hits)
 
 
-# The reference's search space; the share of columns is drawn per node here, not per tree.
+# The search space. Rounds, depth, step, share of rows and of columns per tree.
 SEARCH = {
-    "maxIter": [200, 300, 400],
-    "maxDepth": [3, 4, 5, 6],
-    "stepSize": [0.03, 0.05, 0.07, 0.1],
-    "subsamplingRate": [0.7, 0.8, 0.9, 1.0],
-    "featureSubsetStrategy": ["0.6", "0.8", "1.0"],
+    "rounds": [200, 300, 400],
+    "depth": [3, 4, 5, 6],
+    "step": [0.03, 0.05, 0.07, 0.1],
+    "rows": [0.7, 0.8, 0.9, 1.0],
+    "columns": [0.6, 0.8, 1.0],
 }
 
 
@@ -244,12 +244,11 @@ def tune_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten random candidates of the search space, cross-validated in three folds; mean AUC
     per candidate."""
     train, _ = _split(spark, sf_dir)
-    found = models.tune(train, _pipeline(), SEARCH, folds=3, candidates=10)
-    rows = []
-    for params, auc in zip(found.getEstimatorParamMaps(), found.avgMetrics, strict=True):
-        chosen = {p.name: v for p, v in params.items()}
-        rows.append((*(type(SEARCH[name][0])(chosen[name]) for name in SEARCH), float(auc)))
-    return spark.createDataFrame(rows, "max_iter int, max_depth int, step double, subsample double, columns string, mean_auc double")
+    points = boosting.candidates(SEARCH, 10)
+    bins = boosting.binned(train, prepare.NUMERIC_FEATURES, prepare.CATEGORICAL_FEATURES)
+    schema = "candidate int, max_iter int, max_depth int, step double, subsample double, columns double"
+    named = spark.createDataFrame([(k, *p) for k, p in enumerate(points)], schema)
+    return named.join(boosting.search(bins, points), "candidate").drop("candidate")
 
 
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,7 +308,7 @@ QUERIES = {
     "ordinal_encode": over("application_train")(ordinal_encode),
     "label_encode": over("application_train")(label_encode),
     "stratified_split": over("application_train")(
-        lambda a: prepare.split_balance(prepare.assign_split(a.select(KEY, "TARGET"), KEY))
+        lambda a: prepare.split_balance(prepare.assign_split(a.select(KEY, "TARGET"), KEY), KEY)
     ),
     "class_weights": over("application_train")(prepare.class_weights),
     "class_balance": over("application_train")(prepare.class_balance),

@@ -333,8 +333,9 @@ WHERE k > 0 OR lo < -1e10 OR hi > 1e10"""
         + " FROM f_application_train x"
     ),
     "stratified_split": _app(
-        """SELECT CASE WHEN CAST('0x' || substr(md5(CAST(SK_ID_CURR AS VARCHAR) || '|42'), 1, 8) AS BIGINT) % 10000 < 2000
-  THEN 'test' ELSE 'train' END AS split, TARGET, count(*) AS rows FROM f_application_train GROUP BY 1, 2"""
+        """SELECT CASE WHEN place <= floor(0.2 * class_rows + 0.5) THEN 'test' ELSE 'train' END AS split, TARGET, count(*) AS rows, CAST(sum(SK_ID_CURR) AS BIGINT) AS key_sum
+FROM (SELECT TARGET, SK_ID_CURR, count(*) OVER (PARTITION BY TARGET) AS class_rows,
+  row_number() OVER (PARTITION BY TARGET ORDER BY substr(md5(CAST(SK_ID_CURR AS VARCHAR) || '|42'), 1, 8), SK_ID_CURR) AS place FROM f_application_train) GROUP BY 1, 2"""
     ),
     "class_weights": _app(
         """SELECT TARGET, round((SELECT count(*) FROM f_application_train) /
