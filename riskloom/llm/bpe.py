@@ -10,8 +10,8 @@ a step takes the next rank's bucket and merges the leftmost position of every pr
 it, as arrays.
 
 Ranks are those of a ``.tiktoken`` file; each match of the pattern is encoded on its own,
-without special tokens. Pre-tokens are looked up before they are encoded: a Python worker
-remembers the results of about ``REMEMBER`` distinct ones, and starts afresh beyond. Documents
+without special tokens. Pre-tokens are looked up before they are encoded: a task remembers the
+results of about ``REMEMBER`` distinct ones and as many met before them. Documents
 are cut only where no match of the pattern can reach across: before a blank that follows a
 character that is no white space.
 
@@ -24,19 +24,19 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from riskloom.llm.common import text_bytes, tidy
+from riskloom.llm.common import portions, text_bytes, tidy
 
-PORTION = 2 << 20  # bytes of text cut into stretches at a time
-REMEMBER = 600_000
+PORTION = 8 << 20  # bytes of text cut into stretches at a time
+REMEMBER = 400_000
 SHORT = 64
 #: White space of Unicode, for \s; fixed values.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -138,6 +138,8 @@ class Codec:
         self.size = max(ranks.values()) + 1
         self.queue = RankQueue(self.size)
         self.pairs: tuple | None = None
+        self.bytes = _Spelling(self.tokens, self.size)
+        self.decimal = _Spelling({r: b" %d" % r for r in self.tokens}, self.size)
         self.split = regex.compile(pattern.replace(r"[^\s", rf"[^{_SPACE}").replace(r"\s", rf"[{_SPACE}]").replace(r"\S", rf"[^{_SPACE}]"))
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -191,21 +193,41 @@ class Codec:
                         made[a * self.size + b] = rank
             keys = np.array(sorted(made), np.int64)
             self.pairs = keys, np.array([made[k] for k in keys.tolist()], np.int64)
+            self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+            self.doubles = self._pair_ranks(np.repeat(self.single, 256), np.tile(self.single, 256))
         keys, ranks = self.pairs
         want = left * self.size + right
         at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
         return np.where(keys[at] == want, ranks[at], -1)
 
+    @staticmethod
+    def _fill(queue: RankQueue, places: np.ndarray, ranks: np.ndarray) -> None:
+        """Adds places by rank, a bucket at a time."""
+        if len(ranks) < 8:
+            for rank, place in zip(ranks.tolist(), places.tolist(), strict=True):
+                queue.fill(rank, [place])
+            return
+        order = ranks.argsort()
+        places, ranks = places[order].tolist(), ranks[order]
+        a = 0
+        for b in [*((ranks[1:] != ranks[:-1]).nonzero()[0] + 1).tolist(), len(places)]:
+            queue.fill(int(ranks[a]), places[a:b])
+            a = b
+
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """``encode_piece`` of each, over one queue."""
+        """``encode_piece`` of each."""
+        return [np.frombuffer(b, "<u4").tolist() for b in self.packed(pieces)]
+
+    def packed(self, pieces: list[bytes]) -> list[bytes]:
+        """``encode_piece`` of each, over one queue, as little-endian unsigned 32-bit numbers."""
         out: list = [None] * len(pieces)
         short = []
         for k, piece in enumerate(pieces):
             whole = self.ranks.get(piece)
             if whole is not None:
-                out[k] = [whole]
+                out[k] = whole.to_bytes(4, "little")
             elif len(piece) > SHORT:
-                out[k] = self.encode_piece(piece)
+                out[k] = np.array(self.encode_piece(piece), "<u4").tobytes()
             else:
                 short.append(k)
         if not short:
@@ -213,27 +235,29 @@ class Codec:
         size = np.array([len(pieces[k]) for k in short])
         data = np.frombuffer(b"".join(pieces[k] for k in short), np.uint8)
         n, owner, end = len(data), np.repeat(np.arange(len(short)), size), np.cumsum(size)
-        ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)[data]
+        self._pair_ranks(np.zeros(0, np.int64), np.zeros(0, np.int64))
+        ids = self.single[data]
         after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
         after[end - 1] = -1
         before[end - size] = -1
         pair = np.full(n, -1, np.int64)
         has = np.flatnonzero(after >= 0)
-        pair[has] = self._pair_ranks(ids[has], ids[has + 1])
+        pair[has] = self.doubles[data[has].astype(np.int64) * 256 + data[has + 1]]
         queue = RankQueue(self.size)
         first = has[pair[has] >= 0]
-        first = first[np.argsort(pair[first], kind="stable")]
-        cut = np.flatnonzero(np.diff(pair[first], prepend=-1, append=-1))
-        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-            queue.fill(int(pair[first[a]]), first[a:b].tolist())
+        self._fill(queue, first, pair[first])
         while (found := queue.take()) is not None:
             rank, places = found
-            at = np.unique(np.array(places))
+            at = np.array(places)
+            at.sort()
             at = at[pair[at] == rank]  # the others are stale
             if not len(at):
                 continue
             lead = np.ones(len(at), bool)
-            lead[1:] = owner[at[1:]] != owner[at[:-1]]
+            np.not_equal(at[1:], at[:-1], out=lead[1:])  # a place may be queued twice
+            if not lead.all():
+                at, lead = at[lead], lead[lead]
+            np.not_equal(owner[at[1:]], owner[at[:-1]], out=lead[1:])
             if not lead.all():
                 queue.fill(rank, at[~lead].tolist())
                 at = at[lead]
@@ -247,15 +271,12 @@ class Codec:
             new = np.concatenate([at[inner], back[back >= 0]])
             ranks = self._pair_ranks(ids[new], ids[after[new]])
             pair[new] = ranks
-            for p, r in zip(new.tolist(), ranks.tolist(), strict=True):
-                if r >= 0:
-                    queue.fill(r, [p])
+            self._fill(queue, new[ranks >= 0], ranks[ranks >= 0])
         alive = ids >= 0
-        ids, count = ids[alive].tolist(), np.bincount(owner[alive], minlength=len(short))
-        a = 0
-        for k, c in zip(short, count.tolist(), strict=True):
-            out[k] = ids[a : a + c]
-            a += c
+        raw, a = ids[alive].astype("<u4").tobytes(), 0
+        for k, b in zip(short, (4 * np.cumsum(np.bincount(owner[alive], minlength=len(short)))).tolist(), strict=True):
+            out[k] = raw[a:b]
+            a = b
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -265,77 +286,88 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+class _Spelling:
+    """Byte strings of ids, laid end to end."""
+
+    def __init__(self, words: dict[int, bytes], size: int) -> None:
+        self.length = np.zeros(size, np.int64)
+        self.length[list(words)] = [len(w) for w in words.values()]
+        self.start = np.cumsum(self.length) - self.length
+        self.data = np.frombuffer(b"".join(words[k] for k in sorted(words)), np.uint8)
+
+    def spell(self, ids: np.ndarray, cut: np.ndarray) -> list[bytes]:
+        """The strings of ``ids[cut[k]:cut[k + 1]]`` for every k, each joined."""
+        out, at = [], np.concatenate([[0], np.cumsum(self.length[ids])])
+        for a in range(0, len(ids), 1 << 17):
+            part = ids[a : a + (1 << 17)]
+            end = at[a : a + len(part) + 1] - at[a]
+            out.append(self.data[np.repeat(self.start[part] - end[:-1], self.length[part]) + np.arange(end[-1])].tobytes())
+        body, at = b"".join(out), at[cut].tolist()
+        return [body[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 class _Memory:
-    """Results of stretches and pre-tokens: ids as text, their number, the decoded bytes."""
+    """Packed ids of pre-tokens in two generations: a full young one becomes the old one, from
+    which what is met again comes back. Lives as long as its task."""
 
     def __init__(self, codec: Codec) -> None:
-        self.codec, self.whole, self.pieces = codec, {}, {}
-
-    def learn(self, texts: set[str]) -> None:
-        """Encodes and decodes what is not known of ``texts``."""
-        if len(self.whole) > REMEMBER:
-            self.whole = {}
-        if len(self.pieces) > REMEMBER:
-            self.whole, self.pieces = {}, {}
-        split, pieces = self.codec.split.findall, self.pieces
-        cut = [(s, split(s)) for s in texts if s not in self.whole]
-        fresh = list({m for _, parts in cut for m in parts if m not in pieces})
-        for m, ids in zip(fresh, self.codec.encode_pieces([m.encode() for m in fresh]), strict=True):
-            pieces[m] = (" ".join(map(str, ids)), len(ids), self.codec.decode(ids))
-        for s, parts in cut:
-            if len(parts) == 1:
-                self.whole[s] = pieces[parts[0]]
+        self.codec = codec
+        self.ids: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def look_up(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, given as pre-tokens, and where each begins."""
+        if len(self.ids) > REMEMBER:
+            self.old, self.ids = self.ids, {}
+        ids, old, fresh = self.ids, self.old, []
+        for m in set().union(*texts).difference(ids):
+            if m in old:
+                ids[m] = old[m]
             else:
-                got = [pieces[m] for m in parts]
-                self.whole[s] = (" ".join([g[0] for g in got]), sum([g[1] for g in got]), b"".join([g[2] for g in got]))
+                fresh.append(m)
+        ids.update(zip(fresh, self.codec.packed([m.encode() for m in fresh]), strict=True))
+        raw = [b"".join(map(ids.__getitem__, text)) for text in texts]
+        cut = np.concatenate([[0], np.cumsum([len(b) // 4 for b in raw])]).astype(np.int64)
+        return np.frombuffer(b"".join(raw), "<u4").astype(np.int64), cut
 
 
-def stretches(text: str) -> list[str]:
-    """``text`` cut before each blank that follows no white space."""
-    parts = text.split(" ")
-    out, open_part = [], parts[0]
-    for part in parts[1:]:
-        if not open_part or open_part[-1].isspace():
-            open_part += " " + part
-        else:
-            out.append(open_part)
-            open_part = " " + part
-    out.append(open_part)
-    return out if text else []
+_CUT = re.compile(r"(?<=\S)(?= )")  # no match of the pattern reaches across
 
 
-@functools.lru_cache(maxsize=1)
-def _memory(text: bytes, pattern: str) -> _Memory:
-    """Kept by a Python worker from task to task."""
-    return _Memory(Codec(_parsed(text), pattern))
+def slices(text: str, size: int) -> list[str]:
+    """``text`` cut after ``size`` characters or more, before a blank that follows no white space."""
+    out, a = [], 0
+    while a < len(text):
+        found = _CUT.search(text, a + size) if len(text) > a + size else None
+        b = found.start() if found else len(text)
+        out.append(text[a:b])
+        a = b
+    return out
 
 
-def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose last column holds about ``PORTION`` bytes together; a longer text comes alone."""
-    for batch in batches:
-        at = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(batch.column(batch.num_columns - 1)), np.int64))])
-        i = 0
-        while i < batch.num_rows:
-            j = max(i + 1, int(np.searchsorted(at, at[i] + PORTION, "right")) - 1)
-            yield batch.slice(i, j - i)
-            i = j
+@functools.lru_cache(maxsize=1)
+def _codec(text: bytes, pattern: str) -> Codec:
+    """Kept by a Python worker from task to task; its size is that of the rank file."""
+    return Codec(_parsed(text), pattern)
 
 
 def _run(rank_text: bytes, pattern: str, ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _memory(rank_text, pattern)
-        for batch in _portions(batches):
-            out: list[list] = [[], [], [], []]
-            texts = [stretches(body.decode()) for body in batch.column(batch.num_columns - 1).to_pylist()]
-            memory.learn(set().union(*texts))
-            known = memory.whole
-            for text in texts:
-                got = [known[s] for s in text]
-                text = " ".join([g[0] for g in got])
-                out[0].append(sum([g[1] for g in got]))
-                out[1].append(hashlib.sha256(text.encode()).hexdigest())
-                out[2].append(hashlib.sha256(b"".join([g[2] for g in got])).hexdigest())
-                out[3].append([int(x) for x in text.split()] if ids else None)
+        codec = _codec(rank_text, pattern)
+        memory, split = _Memory(codec), codec.split.findall
+        for batch in portions(batches, PORTION):
+            texts = [body.decode() for body in batch.column(batch.num_columns - 1).to_pylist()]
+            n = len(texts)
+            numbers, own, body, told = [0] * n, [hashlib.sha256() for _ in texts], [hashlib.sha256() for _ in texts], [[] for _ in texts]
+            for part in [texts] if n > 1 else [[s] for s in slices(texts[0], PORTION)]:
+                found, cut = memory.look_up([split(text) for text in part])
+                for k, (a, b, ids_text, bytes_text) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), codec.decimal.spell(found, cut), codec.bytes.spell(found, cut), strict=True)):
+                    own[k].update(ids_text[1:] if not numbers[k] else ids_text)  # each id has a blank before it
+                    body[k].update(bytes_text)
+                    numbers[k] += b - a
+                    if ids:
+                        told[k] += found[a:b].tolist()
+            out = [numbers, [h.hexdigest() for h in own], [h.hexdigest() for h in body], told]
             kept = [batch.column(k) for k in range(batch.num_columns - 1)]
             made = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())]
             names = [*batch.schema.names[:-1], "n_tokens", "ids_sha256", "decoded_sha256"]

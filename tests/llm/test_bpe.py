@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from riskloom.llm import bpe as B
+from riskloom.llm.common import portions
 
 PATH = P.path("byte_bpe_50k.tiktoken")
 RANKS = B.read_ranks(PATH)
@@ -29,8 +30,9 @@ def test_like_the_library(text):
 def test_any_text(text):
     assert CODEC.encode(text) == OWN.encode_ordinary(text)
     assert CODEC.decode(CODEC.encode(text)) == text.encode()
-    assert "".join(B.stretches(text)) == text
-    assert [i for s in B.stretches(text) for i in CODEC.encode(s)] == OWN.encode_ordinary(text)
+    for size in (1, 5):
+        assert "".join(B.slices(text, size)) == text
+        assert [i for s in B.slices(text, size) for i in CODEC.encode(s)] == OWN.encode_ordinary(text)
 
 
 def test_many_at_once():
@@ -71,9 +73,8 @@ def test_rows(spark):
     assert B.tokenize(df.limit(0), PATH, P.PATTERN, ["doc_id"]).count() == 0
 
 
-def test_portions_hold_every_row_once(monkeypatch):
-    monkeypatch.setattr(B, "PORTION", 10)
+def test_portions_hold_every_row_once():
     sizes = [3, 3, 3, 3, 25, 0, 10, 1, 0]
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(sizes))), pa.array([b"x" * n for n in sizes], pa.binary())], names=["doc_id", "_body"])
-    parts = [p.column(0).to_pylist() for p in B._portions(iter([batch.slice(0, 0), batch, batch.slice(2, 3)]))]
+    parts = [p.column(0).to_pylist() for p in portions(iter([batch.slice(0, 0), batch, batch.slice(2, 3)]), 10)]
     assert parts == [[0, 1, 2], [3], [4], [5, 6], [7, 8], [2, 3], [4]]
