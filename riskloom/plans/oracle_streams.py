@@ -315,6 +315,15 @@ FROM f_application_train"""
         ["status_log"],
         """SELECT CAST(epoch(date_trunc('hour', created_at)) AS BIGINT) AS window_start, status AS topic, count(*) AS messages
 FROM f_status_log GROUP BY 1, 2""",
+    ),
+    "stream_latency": with_views(
+        ["status_log"],
+        """, a AS (SELECT *, epoch_us(created_at) AS us FROM f_status_log WHERE status = 'approved'),
+ends AS (SELECT min(us) AS low, max(us) AS high FROM a),
+d AS (SELECT sk_id_curr, created_at FROM a, ends WHERE NOT (id % 97 = 0 AND floor((us - low) * 10 / (high - low + 1)) < 6)),
+p AS (SELECT s.id AS submission, any_value(s.sk_id_curr) AS sk_id_curr, any_value(s.created_at) AS sent, min(d.created_at) AS done FROM f_status_log s
+  LEFT JOIN d ON d.sk_id_curr = s.sk_id_curr AND d.created_at >= s.created_at AND d.created_at <= s.created_at + INTERVAL 2 DAYS WHERE s.status = 'submitted' GROUP BY s.id)
+SELECT submission, sk_id_curr, round((epoch_us(done) - epoch_us(sent)) / 1e6, 6) AS seconds FROM p""",
     ),
     "flow_check": with_views(
         ["status_log"],

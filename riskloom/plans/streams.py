@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions import cdc as fn
@@ -11,10 +11,10 @@ from riskloom.functions.numeric import col
 from riskloom.operators import application, bureau, cards, cdc, enrich, latest, nested, pos, prepare, previous
 from riskloom.operators.quantiles import exact_quantiles
 from riskloom.plans.marts import over
-from riskloom.session import fresh_path
+from riskloom.session import fresh_path, materialise
 from riskloom.sources import files, messages, schemas
 from riskloom.sources.domain import base_table, view
-from riskloom.streaming import jobs, readiness, store
+from riskloom.streaming import jobs, latency, readiness, store
 
 DAY = 86_400
 NOW = "2024-01-31 00:00:00"
@@ -483,6 +483,37 @@ def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_latest(spark, f"{root}/out", schema, "key", ["messages"]).drop("key")
 
 
+SLICES, BEHIND = 10, 4
+
+
+def in_time_order(rows: DataFrame, path: str, column: str, late: Column, closing: DataFrame) -> DataFrame:
+    """``rows`` as a stream that comes by slices of time. A watermark delay of a slice's width
+    loses nothing of it, whatever the order of its files; ``late`` rows come ``BEHIND`` slices
+    after their own, behind the watermark, and ``closing`` rows come last."""
+    spark, at = rows.sparkSession, F.unix_micros(column)
+    ends = rows.agg(F.min(at).alias("low"), F.max(at).alias("high")).select(F.struct("*")).scalar()
+    own = F.floor((at - ends["low"]) * SLICES / (ends["high"] - ends["low"] + 1)).cast("int")
+    arrives = own + F.when(F.coalesce(late, F.lit(False)) & (own < SLICES - BEHIND), BEHIND).otherwise(0)
+    sliced = materialise(rows.withColumn("slice", arrives), "slices")
+    for k in range(SLICES):  # a file source takes files by their time of writing
+        sliced.where(F.col("slice") == k).drop("slice").write.mode("append").parquet(path)
+    closing.write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, len(sliced.inputFiles()))).parquet(path)
+
+
+def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions and decisions as two streams, joined within two days. One decision in 97
+    comes weeks late and is dropped; many submissions never see one."""
+    root = fresh_path(spark, "stream-latency")
+    log = view(spark, sf_dir, "status_log").select("id", "sk_id_curr", "status", "created_at")
+    after = (F.max("created_at") + F.expr("INTERVAL 20 DAYS")).alias("created_at")
+    clock = log.agg(F.lit(-1).cast("long").alias("id"), F.lit("").alias("sk_id_curr"), F.lit("clock").alias("status"), after)
+    late = (F.col("status") == "approved") & (F.col("id") % 97 == 0)
+    sent, done = (in_time_order(log.where(F.col("status") == name), f"{root}/{name}", "created_at", late, clock) for name in ("submitted", "approved"))
+    latency.latency_job(sent, done, f"{root}/out", f"{root}/checkpoint", "2 DAYS", "4 days").awaitTermination()
+    return latency.read_latency(spark, f"{root}/out").where("submission >= 0")
+
+
 QUERIES = {
     "src_csv_roundtrip": csv_roundtrip,
     "src_load_ledger": load_ledger,
@@ -526,4 +557,5 @@ QUERIES = {
     "stream_bureau_agg": stream_bureau_agg,
     "stream_feature_ready": stream_feature_ready,
     "stream_throughput": stream_throughput,
+    "stream_latency": stream_latency,
 }
