@@ -125,6 +125,13 @@ def enrich_warehouse(keys: DataFrame, marts: list[DataFrame]) -> DataFrame:
     return out.select(F.col("key").alias("sk_id_curr"), F.unix_timestamp().cast("double").alias("ts"), *[F.col(c).alias(c.lower()) for c in names])
 
 
+def cut_to(keys: DataFrame, table: DataFrame) -> DataFrame:
+    """Rows of a raw table that belong to the customers in ``keys``: what a mart of these
+    customers alone is made of."""
+    wanted = numeric_keys(keys).select(F.col("customer").alias(KEY)).distinct()
+    return table.join(wanted, KEY, "left_semi")
+
+
 def flatten_to_schema(df: DataFrame, expected: list[str]) -> DataFrame:
     """Exactly the ``expected`` columns in order: matched without regard to case,
     emitted in lower case, NULL when absent, extra columns dropped."""

@@ -229,6 +229,13 @@ FROM f_application_train WHERE SK_ID_CURR % 7 = 0 OR SK_ID_CURR % 11 = 0"""
         "FROM f_application_train a LEFT JOIN wc USING (SK_ID_CURR) LEFT JOIN wp USING (SK_ID_CURR) "
         "LEFT JOIN wv USING (SK_ID_CURR)",
     ),
+    "stream_enrich_dwh": with_views(
+        ["application_train", *_WAREHOUSE_VIEWS],
+        _WAREHOUSE_CTES
+        + f"SELECT CAST(a.SK_ID_CURR AS VARCHAR) AS sk_id_curr, {', '.join(f'{c} AS {c.lower()}' for c in _ALL_WAREHOUSE)} "
+        "FROM f_application_train a LEFT JOIN wc USING (SK_ID_CURR) LEFT JOIN wp USING (SK_ID_CURR) "
+        f"LEFT JOIN wv USING (SK_ID_CURR) WHERE SK_ID_CURR % 53 <> 0 AND {_READABLE}",
+    ),
     "dwh_flatten": with_views(
         ["pos_cash_balance"],
         f""", {_LOAN_CTES}, wp AS (SELECT SK_ID_CURR, {columns(*MART_COLUMNS["pos"])} FROM loan GROUP BY SK_ID_CURR)

@@ -12,7 +12,7 @@ from riskloom.operators import application, bureau, cards, cdc, enrich, latest,
 from riskloom.operators.quantiles import exact_quantiles
 from riskloom.plans.marts import over
 from riskloom.session import fresh_path, materialise
-from riskloom.sources import files, messages, schemas
+from riskloom.sources import files, messages, schemas, tables
 from riskloom.sources.domain import base_table, view
 from riskloom.streaming import jobs, latency, readiness, store
 
@@ -241,6 +241,24 @@ def enrich_dwh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich_warehouse(ids(view(spark, sf_dir, "application_train")), warehouse_marts(spark, sf_dir)).drop("ts")
 
 
+def stream_enrich_dwh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change messages enriched per micro-batch: two marts are tables bucketed by customer, the
+    third is made anew from the previous applications of the batch's customers."""
+    root = fresh_path(spark, "stream-dwh")
+    card_mart, pos_mart, _ = warehouse_marts(spark, sf_dir)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = [tables.save_bucketed(m, n, enrich.KEY, buckets) for m, n in ((card_mart, "cards"), (pos_mart, "pos"))]
+    raw = view(spark, sf_dir, "previous_application")
+
+    def marts(keys: DataFrame) -> list[DataFrame]:
+        return [*kept, previous.previous_features(enrich.cut_to(keys, raw))]
+
+    source = files.text_stream(spark, _spread(change_messages(spark, sf_dir), f"{root}/in"))
+    jobs.warehouse_job(source, marts, f"{root}/features", f"{root}/checkpoint").awaitTermination()
+    schema = enrich.enrich_warehouse(jobs.change_keys(change_messages(spark, sf_dir)), [*kept, previous.previous_features(raw)]).schema
+    return store.read_latest(spark, f"{root}/features", schema, "sk_id_curr", ["ts"]).drop("ts")
+
+
 def dwh_flatten(pos_cash: DataFrame) -> DataFrame:
     """A mart row flattened to a schema: one column is absent, the rest are dropped."""
     mart = pos.pos_features(pos_cash)
@@ -534,6 +552,7 @@ QUERIES = {
     "bureau_agg_nested": bureau_agg_nested,
     "enrich_rejects": enrich_rejects,
     "enrich_dwh": enrich_dwh,
+    "stream_enrich_dwh": stream_enrich_dwh,
     "dwh_flatten": over("pos_cash_balance")(dwh_flatten),
     "online_store_latest": over("source_arrivals")(online_store_latest),
     "online_features": _online,

@@ -80,11 +80,17 @@ def read_bureau_features(spark: SparkSession, features: str, parts: str) -> Data
     return latest_by(both, "sk_id_curr", ["ts"])
 
 
-def warehouse_job(messages: DataFrame, marts: list[DataFrame], features: str, checkpoint: str, **options) -> StreamingQuery:
-    """Change messages to the warehouse feature log."""
+Marts = list[DataFrame] | Callable[[DataFrame], list[DataFrame]]
+
+
+def warehouse_job(messages: DataFrame, marts: Marts, features: str, checkpoint: str, **options) -> StreamingQuery:
+    """Change messages to the warehouse feature log. ``marts`` are tables with a row per customer
+    (bucketed by the customer, a batch moves its keys alone), or a function that makes them for
+    a batch's keys from raw tables cut to these keys."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = enrich.enrich_warehouse(change_keys(batch), marts)
+        keys = change_keys(batch)
+        rows = enrich.enrich_warehouse(keys, marts(keys) if callable(marts) else marts)
         store.write_batch(rows, batch_id, features, "sk_id_curr", ["ts"])
 
     return start(messages, sink, checkpoint, **options)
