@@ -1,10 +1,12 @@
-"""Exact quantiles without collecting a column's values in one task.
-
-``percentile``/``median`` keep every distinct value of a group in one task's
-memory. Here a sketch first brackets each quantile in a narrow band; one pass then
-counts whole zones between the bands and keeps single values only inside them. The
-final ordering sees a few rows per column, and the result does not depend on the
-sketch's error: a rank that falls outside its band raises instead of guessing.
+"""Exact quantiles by selection in narrowing ranges; no task holds a column's values.
+
+A sketch first brackets each quantile in a narrow band; one pass then counts whole zones
+between the bands and keeps values, each with its count, only inside them. The values kept
+grow with the data, if slowly, so the wanted ranks are sought in ranges: a range is cut
+into ``CUTS`` parts, the parts are counted, and the part that holds the rank is the next range,
+until it has at most ``LEFT`` values. These alone are put in order. A rank wanted twice (a
+value and its successor) is sought twice. The driver sees one row per column and rank, and
+the result does not depend on the sketch's error: a rank outside its band raises.
 """
 
 from __future__ import annotations
@@ -12,6 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import materialise
+
+CUTS, LEFT = 256, 1_000
 _ACCURACY = 10_000
 
 
@@ -58,35 +63,57 @@ def exact_quantiles(
     entries = numeric.select(F.explode(F.array(*[located(i, c) for i, c in enumerate(columns)])).alias("e")).select(
         "e.column", F.when(F.col("e.inside").isNull(), F.col("e.zone")).alias("zone"), "e.inside", "e.value"
     )
-    grouped = (
+    kept = materialise(
         entries.where("value IS NOT NULL")
         .groupBy("column", "zone", "inside")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .drop("zone", "inside"),
+        "bands",
     )
-    by_column = Window.partitionBy("column")
-    upto = by_column.orderBy("low").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = grouped.withColumns({"last": F.sum("rows").over(upto), "n": F.sum("rows").over(by_column)})
-    first = F.col("last") - F.col("rows") + 1
-
-    def at(rank: Column) -> Column:
-        hit = (rank >= first) & (rank <= F.col("last"))
-        value = (
-            F.when(rank == first, F.col("low"))
-            .when(rank == F.col("last"), F.col("high"))
-            .when(F.col("low") == F.col("high"), F.col("low"))
-            .otherwise(F.raise_error(F.lit("quantile outside its sketch band")).cast("double"))
-        )
-        return F.max(F.when(hit, value))
-
+    totals = kept.groupBy("column").agg(F.sum("rows").alias("n"))
+    sought = [_rank(F.col("n"), p, method) for p in probabilities]
+    ranks = F.array(*[r for rank, _ in sought for r in (rank, F.least(rank + 1, F.col("n")))])
+    wanted_ranks = totals.select("column", F.posexplode(ranks).alias("target", "rank"))
+    found = _select(kept, wanted_ranks)
+    values = [F.max(F.when(F.col("target") == t, F.col("value"))).alias(f"v{t}") for t in range(2 * len(sought))]
+    wide = totals.join(found.groupBy("column").agg(*values), "column")
     results = []
-    for i, p in enumerate(probabilities):
-        rank, weight = _rank(F.col("n"), p, method)
-        low = at(rank)
-        if method == "linear":
-            high = F.coalesce(at(F.least(rank + 1, F.col("n"))), low)
-            low = low + F.max(weight) * (high - low)
-        results.append(low.alias(f"q{i}"))
-    return ranked.groupBy("column").agg(F.max("n").alias("n"), *results)
+    for i, (_, weight) in enumerate(sought):
+        low, after = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
+        results.append((low + weight * (after - low) if method == "linear" else low).alias(f"q{i}"))
+    return wide.select("column", "n", *results)
+
+
+def _select(kept: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``ranks`` (column, target, 1-based rank) with the value at each rank of ``kept`` (column,
+    rows, low, high: a single value, or a zone between bands)."""
+    spark, targets = kept.sparkSession, ["column", "target"]
+    span = [F.sum("rows").alias("n"), F.count(F.lit(1)).alias("entries"), F.min("low").alias("first"), F.max("low").alias("last")]
+    state = kept.groupBy("column").agg(*span).join(ranks, "column").drop("n")
+    schema = "column string, target int, rank long, entries long, first double, last double"
+    rows = state.select("column", "target", F.col("rank").cast("long"), "entries", "first", "last").collect()
+    while any(r["entries"] > LEFT for r in rows):
+        state = spark.createDataFrame(rows, schema)
+        wide = F.col("last") / 2 - F.col("first") / 2
+        part = F.least(F.floor((F.col("low") / 2 - F.col("first") / 2) / wide * CUTS), F.lit(CUTS - 1))
+        part = F.when(F.abs(wide) < float("inf"), part).otherwise(1)  # between infinite ends
+        part = F.when(F.col("low") == F.col("last"), CUTS - 1).when(F.col("low") == F.col("first"), 0).otherwise(part)
+        inside = kept.join(F.broadcast(state), "column").where(F.col("low").between(F.col("first"), F.col("last")))  # a row per column and rank
+        parts = inside.groupBy(*targets, "rank", part.alias("part")).agg(*span)
+        before = F.sum("n").over(Window.partitionBy(*targets).orderBy("part")) - F.col("n")
+        hit = parts.withColumn("before", before).where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n")))
+        rows = hit.select("column", "target", (F.col("rank") - F.col("before")).alias("rank"), "entries", "first", "last").collect()
+    state = spark.createDataFrame(rows, schema)
+    inside = kept.join(F.broadcast(state), "column").where(F.col("low").between(F.col("first"), F.col("last")))
+    upto = F.sum("rows").over(Window.partitionBy(*targets).orderBy("low"))
+    hit = inside.withColumn("upto", upto).where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("rows")))
+    value = (
+        F.when(F.col("rank") == F.col("upto") - F.col("rows") + 1, F.col("low"))
+        .when(F.col("rank") == F.col("upto"), F.col("high"))
+        .when(F.col("low") == F.col("high"), F.col("low"))
+        .otherwise(F.raise_error(F.lit("quantile outside its sketch band")).cast("double"))
+    )
+    return hit.select(*targets, value.alias("value"))
 
 
 def as_row(quantiles: DataFrame, columns: list[str], fields: list[str]) -> Column:
