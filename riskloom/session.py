@@ -50,5 +50,5 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     is computed once, and gives the planner true sizes."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
