@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import text_bytes, tidy
+from riskloom.llm.common import portions, small_batches, text_bytes, tidy
 from riskloom.session import materialise
 
 PIECE = 30
-REMEMBER = 400_000  # words whose result a task keeps
+REMEMBER = 250_000  # words whose result a task keeps
 WIDE = 64  # with more languages than this, fewer words and rows are held at a time
 SLOTS = 1 << 30
 BLANK = 32
@@ -209,21 +209,47 @@ def has_letter(text_col: str = "text") -> Column:
     return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
 
 
+class _Sums:
+    """``word_sums`` of words in two generations: a full young one becomes the old one, from
+    which what is met again comes back."""
+
+    def __init__(self, net: Network, most: int) -> None:
+        self.net, self.most, self.width = net, most, len(net.langs) + 1
+        self.old: tuple[dict, np.ndarray] = {}, np.zeros((0, self.width))
+        self.place: dict[bytes, int] = {}
+        self.table = np.empty((1024, self.width))
+
+    def learn(self, words: set[bytes]) -> None:
+        """Puts every word into the young generation."""
+        if len(self.place) > self.most:
+            self.old = self.place, self.table
+            self.place, self.table = {}, np.empty((1024, self.width))
+        before, rows = self.old
+        fresh = words.difference(self.place)
+        again = [w for w in fresh if w in before]
+        new = list(fresh.difference(again))
+        at = len(self.place)
+        end = at + len(fresh)
+        if end > len(self.table):
+            table = np.empty((max(end, 2 * len(self.table)), self.width))
+            table[:at] = self.table[:at]
+            self.table = table
+        self.table[at : at + len(again)] = rows[[before[w] for w in again]]
+        if new:
+            self.table[at + len(again) : end] = word_sums(self.net, new)
+        self.place.update(zip([*again, *new], range(at, end), strict=True))
+
+
 def _predict(net: Network | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
-        table = np.zeros((0, len(net.langs) + 1 if net else 1))
         wide = max(WIDE, len(net.langs) if net else 0)
-        step = max(1, 10_000 * WIDE // wide)
-        for batch in (b.slice(k, step) for b in batches for k in range(0, b.num_rows, step)):
+        sums = _Sums(net, REMEMBER * WIDE // wide) if net else None
+        for batch in portions(batches):
             bodies, lettered = batch.column("body").to_pylist(), batch.column("lettered").to_pylist()
             counts = [Counter(b.split()) if ok and net else Counter() for b, ok in zip(bodies, lettered, strict=True)]
-            if len(seen) > REMEMBER * WIDE // wide:
-                seen, table = {}, table[:0]
-            fresh = list(dict.fromkeys(w for c in counts for w in c if w not in seen))
-            if fresh:
-                seen.update(zip(fresh, range(len(seen), len(seen) + len(fresh)), strict=True))
-                table = np.concatenate([table, word_sums(net, fresh)])
+            if sums:
+                sums.learn(set().union(*counts))
+                seen, table = sums.place, sums.table
             langs, scores = [], []
             for c in counts:
                 if not c:
@@ -243,7 +269,8 @@ def _predict(net: Network | None):
 
 def identify(docs: DataFrame, net: Network | None, columns: list[str], text_col: str = "text") -> DataFrame:
     """``columns`` of every document with lang_pred and score."""
+    small_batches(docs.sparkSession)
     kept = docs.select(*columns).schema
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    rows = docs.select(*columns, text_bytes(text_col).alias("body"), has_letter(text_col).alias("lettered"))
+    rows = docs.select(*columns, has_letter(text_col).alias("lettered"), text_bytes(text_col).alias("body"))
     return rows.mapInArrow(tidy(_predict(net)), f"{schema}, lang_pred string, score double")
