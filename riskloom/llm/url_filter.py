@@ -7,10 +7,14 @@ and the path, and a url has one key for its host and for each parent domain. So
 "is a prefix", and a rule is the interval of keys that begin with it; intervals nest or
 are disjoint.
 
+A url's key needs no more characters than the longest rule's, and parents only of as many
+labels as some rule's host has; a long url costs no more than it holds.
+
 Keys of urls (distinct hosts and paths) and rules are range-partitioned and sorted together.
 A sweep over a partition keeps a stack of active rules: entries that the next key has left
 are popped, rules are pushed, and a url's key takes the top, the longest. Rules that began in
-an earlier partition are prefixes of the partition's first key, and join it by equality.
+an earlier partition are prefixes of the partition's first key, of the lengths that rules
+have, and join it by equality.
 The sort is by (key, host), so a key that a third of all urls share is split as well.
 
 Defined cases: null urls, or without ``://``: empty host and path, no rule; of equal rules
@@ -50,7 +54,8 @@ def _keys(rules: DataFrame) -> DataFrame:
     host = ascii_lower(F.regexp_extract("rule", r"(?s)^([^/]*)", 1))
     rows = rules.where("rule is not null and verdict is not null").select("rule", "verdict", host.alias("host")).where("host <> ''")
     key = F.concat(F.array_join(_reversed(F.col("host")), "."), F.lit("." + DIVIDER), F.substring("rule", F.length("host") + 1, F.length("rule")))
-    return rows.groupBy(key.alias("key")).agg(F.max("verdict").alias("verdict"), F.max("rule").alias("rule"))
+    n = F.size(F.split("host", r"\.", -1))
+    return rows.groupBy(key.alias("key")).agg(F.max("verdict").alias("verdict"), F.max("rule").alias("rule"), F.max(n).alias("labels"))
 
 
 def _sweep(rows: pd.DataFrame) -> pd.DataFrame:
@@ -73,15 +78,20 @@ def judge(pages: DataFrame, rules: DataFrame, columns: list[str], url_col: str =
     url = F.col(url_col)
     rows = pages.select(*columns, host_of(url).alias("_host"), path_of(url).alias("_path"))
     keys = materialise(_keys(rules), "rules")
+    shape = keys.agg(F.collect_set("labels").alias("labels"), F.collect_set(F.length("key")).alias("lengths")).select(F.struct("*")).scalar()
+    keys = keys.drop("labels")
+    most = F.coalesce(F.array_max(F.col("shape.lengths")), F.lit(0))
     urls = rows.where("_host <> ''").select(F.col("_host").alias("host"), F.col("_path").alias("path")).distinct()
-    labels = urls.withColumn("labels", _reversed(F.col("host")))
-    parents = F.transform(F.sequence(F.lit(1), F.size("labels")), lambda n: F.concat(F.array_join(F.slice("labels", 1, n), "."), F.lit("." + DIVIDER), F.col("path")))
+    labels = urls.select("*", _reversed(F.col("host")).alias("labels"), shape.alias("shape"))
+    fits = F.filter("shape.labels", lambda n: n <= F.size("labels"))
+    parents = F.transform(fits, lambda n: F.substring(F.concat(F.array_join(F.slice("labels", 1, n), "."), F.lit("." + DIVIDER), F.substring("path", F.lit(1), most)), F.lit(1), most))
     points = labels.select(F.explode(parents).alias("key"), F.lit(1).alias("kind"), "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"))
     marks = keys.select("key", F.lit(0).alias("kind"), F.lit("").alias("host"), F.lit("").alias("path"), "rule", "verdict")
     ranged = points.union(marks).repartitionByRange("key", "kind", "host", "path").withColumn("part", F.spark_partition_id())
     ranged = materialise(ranged, "ranged")
     firsts = ranged.groupBy("part").agg(F.min("key").alias("first"))
-    prefixes = firsts.select("part", F.explode(F.transform(F.sequence(F.lit(1), F.length("first")), lambda n: F.substring(F.col("first"), F.lit(1), n))).alias("key"))
+    cuts = F.filter("shape.lengths", lambda n: n <= F.length("first"))
+    prefixes = firsts.select("*", shape.alias("shape")).select("part", F.explode(F.transform(cuts, lambda n: F.substring(F.col("first"), F.lit(1), n))).alias("key"))
     open_rules = prefixes.join(keys, "key").select("key", F.lit(0).alias("kind"), F.lit("").alias("host"), F.lit("").alias("path"), "rule", "verdict", "part")
     met = ranged.unionByName(open_rules).groupBy("part").applyInPandas(_sweep, "host string, path string, rule string, verdict string")
     best = met.groupBy("host", "path").agg(F.max(F.struct(F.length("rule").alias("n"), "rule", "verdict")).alias("best"))

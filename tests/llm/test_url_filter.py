@@ -41,6 +41,14 @@ def test_like_brute_force(spark):
     assert sorted(got, key=repr) == sorted([(i, *brute(u)) for i, u in enumerate(urls)] + [(0, *brute(urls[0]))], key=repr)
 
 
+def test_long_urls(spark):
+    long = ["http://b.ai/" + "x" * 1_000_000, "http://example.com/en/" + "/y" * 500_000, "http://" + "a." * 20_000 + "org/x/y/z", "http://" + "b" * 300_000 + ".com/"]
+    df = spark.createDataFrame(list(enumerate(long)), "page_id long, url string")
+    rules = spark.createDataFrame([*RULES, ("com/" + "q" * 2000, "block")], "rule string, verdict string")
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in judge(df, rules, ["page_id"]).collect()}
+    assert got == {i: brute(u) for i, u in enumerate(long)}
+
+
 def test_empty(spark):
     pages = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
     rules = spark.createDataFrame(RULES, "rule string, verdict string")
