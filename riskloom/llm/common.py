@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,7 @@ from riskloom.session import materialise
 
 TASK_BYTES = 16 << 20  # text that one group of a shuffle should hold
 PORTION = 4 << 20  # text that a task looks at together
+BATCH_BYTES = 8 << 20
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
 
 
@@ -83,6 +84,15 @@ def with_id(found: DataFrame, rows: DataFrame, plain: bool, id_col: str) -> Data
     return rows.select("_u", id_col).join(found, "_u").drop("_u")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows reach Python by batches of at most ``BATCH_BYTES``: what is sent is held in the JVM
+    and in the worker at once, whatever the length of the texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name)
+    if not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def give_back() -> None:
     """Returns freed memory to the system. Python workers live on from task to task, so what
     they hold without need still counts against their executor in the next stage."""

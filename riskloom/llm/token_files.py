@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import keyed, portions, text_bytes, tidy, with_id
+from riskloom.llm.common import keyed, portions, small_batches, text_bytes, tidy, with_id
 from riskloom.llm.words import WordEncoder
 from riskloom.session import fresh_path
 
@@ -136,6 +136,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, k
     """Files of ``docs`` in order of the long ``key_col``, which must be unique."""
     with open(tokenizer_path, encoding="utf-8") as f:
         json_text = f.read()
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key_col).alias("u"), text_bytes(text_col).alias("body"))
     ranged = rows.repartitionByRange("u").sortWithinPartitions("u")
     blobs = ranged.mapInArrow(tidy(_encode(json_text, end_id, spelled)), "blob binary")
