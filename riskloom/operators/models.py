@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -15,7 +16,8 @@ from pyspark.sql import types as T
 
 from riskloom.functions.decisions import SERVICE_THRESHOLD, decide
 from riskloom.functions.numeric import col
-from riskloom.operators.prepare import KEY, TARGET, class_weights
+from riskloom.operators.prepare import KEY, TARGET, class_order, class_weights
+from riskloom.session import materialise
 
 
 def discover(df: DataFrame, exclude: list[str] = (KEY, TARGET)) -> tuple[list[str], list[str]]:
@@ -87,6 +89,19 @@ def fit_stacking(df: DataFrame, models: list[str], label: str = TARGET) -> Pipel
     return Pipeline(stages=stages).fit(df.withColumn(label, col(label).cast("double")))
 
 
+def out_of_fold(df: DataFrame, fit: Callable[[DataFrame], PipelineModel], key: str = KEY, label: str = TARGET, folds: int = 5) -> DataFrame:
+    """Rows with ``fold`` and ``p_default``, the probability by the model that ``fit`` made of the
+    other folds: no row is scored by a model that saw it. Folds are even within each class."""
+    rows = materialise(class_order(df, key, label).withColumn("fold", (F.col("place") % folds).cast("int")).drop("place", "class_rows"), "folds")
+    out = None
+    for k in range(folds):
+        model = fit(rows.where(F.col("fold") != k).drop("fold"))
+        scored = model.transform(rows.where(F.col("fold") == k)).withColumn("p_default", vector_to_array("probability")[1])
+        part = scored.select(*rows.columns, "p_default")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def save_model(model: PipelineModel, path: str, numeric: list[str], categorical: list[str], entity: str = KEY) -> None:
     """Model plus the metadata the scoring side needs, next to it."""
     model.write().overwrite().save(path)

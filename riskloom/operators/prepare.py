@@ -341,7 +341,6 @@ def importance_by_family(importance: DataFrame, k: int = 20) -> DataFrame:
         .when(name.contains("POS_") | name.contains("PREV_"), "POS")
         .otherwise("Application")
     )
-    top = importance.orderBy(F.col("importance").desc(), "feature").limit(k)
-    return top.groupBy(family.alias("family")).agg(F.count(F.lit(1)).alias("features")).withColumn(
-        "share", ratio("features", F.lit(k))
-    )
+    top = importance.orderBy(F.round("importance", 9).desc(), "feature").limit(k)
+    counted = top.groupBy(family.alias("family")).agg(F.count(F.lit(1)).alias("features"))
+    return counted.withColumn("share", ratio("features", F.sum("features").over(Window.partitionBy())))  # one row per family

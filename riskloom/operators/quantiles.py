@@ -72,15 +72,16 @@ def exact_quantiles(
     )
     totals = kept.groupBy("column").agg(F.sum("rows").alias("n"))
     sought = [_rank(F.col("n"), p, method) for p in probabilities]
-    ranks = F.array(*[r for rank, _ in sought for r in (rank, F.least(rank + 1, F.col("n")))])
+    after = lambda rank: F.least(rank + 1, F.col("n")) if method == "linear" else rank
+    ranks = F.array(*[r for rank, _ in sought for r in (rank, after(rank))])
     wanted_ranks = totals.select("column", F.posexplode(ranks).alias("target", "rank"))
     found = _select(kept, wanted_ranks)
     values = [F.max(F.when(F.col("target") == t, F.col("value"))).alias(f"v{t}") for t in range(2 * len(sought))]
     wide = totals.join(found.groupBy("column").agg(*values), "column")
     results = []
     for i, (_, weight) in enumerate(sought):
-        low, after = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
-        results.append((low + weight * (after - low) if method == "linear" else low).alias(f"q{i}"))
+        low, high = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
+        results.append((low + weight * (high - low) if method == "linear" else low).alias(f"q{i}"))
     return wide.select("column", "n", *results)
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions import decisions
 from riskloom.functions.numeric import col
-from riskloom.operators import application, boosting, bureau, cards, evaluation, models, pos, prepare, previous, quality, ranking
+from riskloom.operators import application, boosting, bureau, cards, evaluation, models, pos, prepare, previous, quality, ranking, stages
 from riskloom.operators.reports import KEY
 from riskloom.plans.marts import over
 from riskloom.session import fresh_path, materialise
@@ -104,10 +105,10 @@ def feature_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- preparation ---------------------------------------------------------------
 
 
-def clip_quantiles(previous_application: DataFrame) -> DataFrame:
-    columns = ["AMT_APPLICATION", "AMT_ANNUITY"]
-    bounds = prepare.clip_bounds(previous_application, columns, 0.01, 0.99)
-    return prepare.clip(previous_application.select("SK_ID_PREV", *columns), bounds, columns)
+def clip_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every numeric feature limited to its quantiles at 0.1 and 99.9 %."""
+    rows = materialise(features24(spark, sf_dir).select(KEY, *prepare.NUMERIC_FEATURES), "features")  # read three times below
+    return prepare.clip(rows, prepare.clip_bounds(rows, prepare.NUMERIC_FEATURES), prepare.NUMERIC_FEATURES)
 
 
 def impute_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,10 +125,12 @@ def smart_fill(application_train: DataFrame, pos_cash: DataFrame) -> DataFrame:
 
 
 def ordinal_encode(application_train: DataFrame) -> DataFrame:
-    """Codes fitted on even customers only, so that others can be unknown."""
-    columns = ["NAME_INCOME_TYPE", "ORGANIZATION_TYPE", "CODE_GENDER"]
-    rows = application_train.select(KEY, *columns)
-    return prepare.ordinal_encode(rows, rows.where("SK_ID_CURR % 2 = 0"), columns)
+    """Codes fitted on the training part and applied to all rows: what only the test part has
+    is unknown."""
+    rows = application_train.select(KEY, "TARGET", *prepare.CATEGORICAL_FEATURES)
+    parts = prepare.assign_split(rows, KEY)
+    coded = prepare.ordinal_encode(rows, parts.where("split = 'train'"), prepare.CATEGORICAL_FEATURES)
+    return coded.drop("TARGET")
 
 
 def label_encode(application_train: DataFrame) -> DataFrame:
@@ -145,9 +148,8 @@ def importance(application_train: DataFrame) -> DataFrame:
 
 
 def importance_by_family(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Families among the ten strongest of the model's numeric features."""
-    rows = features24(spark, sf_dir).select(KEY, "TARGET", *prepare.NUMERIC_FEATURES)
-    return prepare.importance_by_family(importance(materialise(rows, "features")), k=10)
+    """Families among the twenty strongest of all numeric columns of the assembled data."""
+    return prepare.importance_by_family(importance(materialise(complete(spark, sf_dir), "complete")))
 
 
 def feature_set_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,9 +203,18 @@ def ensemble_summary(scores: DataFrame) -> DataFrame:
     return named[0].unionByName(named[1]).unionByName(named[2]).unionByName(named[3])
 
 
+def _stacked(scores: DataFrame) -> DataFrame:
+    return models.out_of_fold(scores, lambda rows: models.fit_stacking(rows, MODELS), KEY, folds=5)
+
+
 def ensemble_stacking(scores: DataFrame) -> DataFrame:
-    model = models.fit_stacking(scores, MODELS)
-    return models.score(model, scores, [KEY])
+    """Each row scored by the stacking model that was fitted without it."""
+    return _stacked(scores).select(KEY, "fold", F.col("p_default").alias("probability"), decisions.decide("p_default").alias("decision"))
+
+
+def stacking_folds(scores: DataFrame) -> DataFrame:
+    """Rows per fold and class among the scored rows, and the sum of their keys."""
+    return _stacked(scores).groupBy("fold", "TARGET").agg(F.count("p_default").alias("rows"), F.sum(KEY).alias("key_sum"))
 
 
 # --- models -------------------------------------------------------------------------
@@ -252,10 +263,11 @@ def tune_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer scored with a model saved and loaded again."""
+    """Every customer scored with the whole training chain (clip, fill, encode, trees), saved
+    and loaded again."""
     train, test = _split(spark, sf_dir)
     path = fresh_path(spark, "model")
-    fitted = _pipeline().fit(train)
+    fitted = stages.training_chain(prepare.NUMERIC_FEATURES, prepare.CATEGORICAL_FEATURES).fit(train)
     models.save_model(fitted, path, prepare.NUMERIC_FEATURES, prepare.CATEGORICAL_FEATURES)
     model, metadata = models.load_model(spark, path)
     rows = prepare.model_input(train.unionByName(test), metadata["model_signature"]["inputs"], keep=[KEY])
@@ -302,7 +314,7 @@ QUERIES = {
     "grouped_missing": over("application_train")(lambda a: quality.grouped_missing(buildings(a))),
     "drift_psi": over("application_train", "application_test")(lambda a, b: quality.psi(a, b, "EXT_SOURCE_2")),
     "drift_ks": over("application_train", "application_test")(lambda a, b: quality.ks_drift(a, b, "EXT_SOURCE_2")),
-    "clip_quantiles": over("previous_application")(clip_quantiles),
+    "clip_quantiles": clip_quantiles,
     "impute_features": impute_features,
     "smart_fill": over("application_train", "pos_cash_balance")(smart_fill),
     "ordinal_encode": over("application_train")(ordinal_encode),
@@ -332,6 +344,7 @@ QUERIES = {
     "ensemble_rank": over("scores")(lambda s: evaluation.mean_rank(s, KEY, "TARGET", MODELS)),
     "ensemble_summary": over("scores")(ensemble_summary),
     "ensemble_stacking": over("scores")(ensemble_stacking),
+    "stacking_folds": over("scores")(stacking_folds),
     "train_gbt": train_gbt,
     "tune_gbt": tune_gbt,
     "batch_score": batch_score,

@@ -211,12 +211,12 @@ _DISTRIBUTION = (
 
 
 def _clip_bound(c: str, p: str) -> str:
-    return _nearest(c, p).replace("FROM mart", "FROM f_previous_application")
+    return _nearest(c, p).replace("FROM mart", "FROM whole")
 
 
 def _clipped(c: str) -> str:
-    low, high = _clip_bound(c, "0.01"), _clip_bound(c, "0.99")
-    return f"CASE WHEN {c} IS NOT NULL THEN greatest({low}, least({high}, {c})) END AS {c}"
+    low, high = _clip_bound(c, "0.001"), _clip_bound(c, "0.999")
+    return f"CASE WHEN {c} IS NOT NULL THEN CAST(greatest({low}, least({high}, {c})) AS DOUBLE) END AS {c}"
 
 
 _FILL_VIEWS = ["application_train", "pos_cash_balance"]
@@ -238,7 +238,9 @@ def _code(c: str, source: str, value: str | None = None) -> str:
     )
 
 
-_EVEN = "f_application_train WHERE SK_ID_CURR % 2 = 0"
+_EVERY_NUMBER = [*_APP_DOUBLES, "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", *APP_INTS] + [
+    name for mart in ("pos", "bureau", "cards", "previous") for kind, _, name in MART_COLUMNS[mart] if kind in (I, D)
+]
 
 LEARNING = {
     "complete_dataset": _whole("SELECT * FROM whole"),
@@ -254,9 +256,9 @@ FROM f_application_train LEFT JOIN cc USING (SK_ID_CURR)""",
         " UNION ALL ".join(f"SELECT '{c}' AS feature, {_r(f'count({c}) * 100 / count(*)', 'coverage')} FROM whole" for c in _NUMERIC)
     ),
     "importance_by_family": _whole(
-        f"""SELECT CASE WHEN feature LIKE 'BUREAU\\_%' ESCAPE '\\' THEN 'Bureau' WHEN contains(feature, 'POS_') OR contains(feature, 'PREV_')
-  THEN 'POS' ELSE 'Application' END AS family, count(*) AS features, count(*) / 10 AS share
-FROM (SELECT feature FROM ({_correlation(_NUMERIC, 'whole')}) ORDER BY abs(r) DESC, feature LIMIT 10) GROUP BY 1"""
+        f""", top AS (SELECT feature FROM ({_correlation(_EVERY_NUMBER, 'whole')}) ORDER BY round(abs(r) * 10, 9) DESC, feature LIMIT 20)
+SELECT CASE WHEN feature LIKE 'BUREAU\\_%' ESCAPE '\\' THEN 'Bureau' WHEN contains(feature, 'POS_') OR contains(feature, 'PREV_')
+  THEN 'POS' ELSE 'Application' END AS family, count(*) AS features, count(*) / (SELECT count(*) FROM top) AS share FROM top GROUP BY 1"""
     ),
     "dq_not_null": _tests(
         "not_null",
@@ -316,14 +318,13 @@ WHERE k > 0 OR lo < -1e10 OR hi > 1e10"""
     ),
     "drift_psi": with_views(["application_train", "application_test"], _PSI),
     "drift_ks": with_views(["application_train", "application_test"], _KS),
-    "clip_quantiles": with_views(
-        ["previous_application"],
-        f"SELECT SK_ID_PREV, {_clipped('AMT_APPLICATION')}, {_clipped('AMT_ANNUITY')} FROM f_previous_application",
-    ),
+    "clip_quantiles": _whole(f"SELECT SK_ID_CURR, {', '.join(_clipped(c) for c in _NUMERIC)} FROM whole"),
     "smart_fill": with_views(_FILL_VIEWS, _FILLED),
     "ordinal_encode": _app(
-        f"SELECT SK_ID_CURR, {', '.join(_code(c, _EVEN) for c in ('NAME_INCOME_TYPE', 'ORGANIZATION_TYPE', 'CODE_GENDER'))} "
-        "FROM f_application_train x"
+        f""", placed AS (SELECT *, count(*) OVER (PARTITION BY TARGET) AS class_rows,
+  row_number() OVER (PARTITION BY TARGET ORDER BY substr(md5(CAST(SK_ID_CURR AS VARCHAR) || '|42'), 1, 8), SK_ID_CURR) AS place FROM f_application_train),
+train AS (SELECT * FROM placed WHERE place > floor(0.2 * class_rows + 0.5))
+SELECT SK_ID_CURR, {', '.join(_code(c, 'train') for c in _CATEGORICAL)} FROM f_application_train x"""
     ),
     "label_encode": _app(
         "SELECT SK_ID_CURR, "
@@ -332,6 +333,11 @@ WHERE k > 0 OR lo < -1e10 OR hi > 1e10"""
         )
         + " FROM f_application_train x"
     ),
+    "stacking_folds": with_views(
+        ["scores"],
+        """SELECT (place - 1) % 5 AS fold, TARGET, count(*) AS rows, CAST(sum(SK_ID_CURR) AS BIGINT) AS key_sum FROM (SELECT TARGET, SK_ID_CURR,
+  row_number() OVER (PARTITION BY TARGET ORDER BY substr(md5(CAST(SK_ID_CURR AS VARCHAR) || '|42'), 1, 8), SK_ID_CURR) AS place FROM f_scores) GROUP BY 1, 2""",
+    ),
     "stratified_split": _app(
         """SELECT CASE WHEN place <= floor(0.2 * class_rows + 0.5) THEN 'test' ELSE 'train' END AS split, TARGET, count(*) AS rows, CAST(sum(SK_ID_CURR) AS BIGINT) AS key_sum
 FROM (SELECT TARGET, SK_ID_CURR, count(*) OVER (PARTITION BY TARGET) AS class_rows,

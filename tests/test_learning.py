@@ -2,8 +2,9 @@
 
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.sql import functions as F
 
-from riskloom.operators import boosting
+from riskloom.operators import boosting, models
 from riskloom.plans import learning
 
 
@@ -29,10 +30,38 @@ def asked(spark, monkeypatch):
     return run
 
 
-@pytest.mark.parametrize("name", ["train_gbt", "batch_score", "score_requests"])
-def test_rounds_and_depth(asked, name):
+@pytest.mark.parametrize(("name", "rounds", "depth"), [("train_gbt", 150, 5), ("batch_score", 300, 4), ("score_requests", 150, 5)])
+def test_rounds_and_depth(asked, name, rounds, depth):
     trees = asked(name).getStages()[-1]
-    assert (trees.getMaxIter(), trees.getMaxDepth()) == (150, 5)
+    assert (trees.getMaxIter(), trees.getMaxDepth()) == (rounds, depth)
+
+
+def test_no_row_is_scored_by_a_model_that_saw_it(spark):
+    """The fitted model tells which keys it saw."""
+    seen = []
+
+    class Model:
+        def __init__(self, keys):
+            self.keys = keys
+
+        def transform(self, rows):
+            assert not self.keys & {r["SK_ID_CURR"] for r in rows.collect()}
+            return rows.withColumn("probability", F.expr("array(0D, 1D)"))
+
+    def fit(rows):
+        seen.append({r["SK_ID_CURR"] for r in rows.collect()})
+        return Model(seen[-1])
+
+    rows = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(101)], "SK_ID_CURR long, TARGET int")
+    patched = models.vector_to_array
+    models.vector_to_array = lambda c: F.col(c)
+    try:
+        got = models.out_of_fold(rows, fit, folds=3).collect()
+    finally:
+        models.vector_to_array = patched
+    assert sorted(r["SK_ID_CURR"] for r in got) == list(range(101)) and len(seen) == 3
+    sizes = {(f, t): sum(r["fold"] == f and r["TARGET"] == t for r in got) for f in range(3) for t in (0, 1)}
+    assert {sizes[f, 1] for f in range(3)} == {8, 9} and {sizes[f, 0] for f in range(3)} == {25}
 
 
 def test_candidates_and_folds(monkeypatch, spark):

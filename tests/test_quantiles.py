@@ -46,6 +46,13 @@ def test_like_sorted_columns(spark, monkeypatch, method, left):
             assert got[c][f"q{SHARES.index(p)}"] == pytest.approx(want(values, p, method), rel=1e-12), (c, p)
 
 
+@pytest.mark.parametrize("n", [857, 900, 250])
+def test_rank_beside_its_band(spark, n):
+    values = [float(k) for k in range(n)]
+    (row,) = Q.exact_quantiles(spark.createDataFrame([(v,) for v in values], "a double"), ["a"], [0.01, 0.5, 0.99], "nearest").collect()
+    assert [row[f"q{i}"] for i in range(3)] == [want(values, p, "nearest") for p in (0.01, 0.5, 0.99)]
+
+
 def test_millions_of_distinct_values(spark, monkeypatch):
     """No window holds more than the fixed number of values."""
     seen = []
