@@ -172,37 +172,51 @@ def join_and_fill(base: DataFrame, features: DataFrame) -> DataFrame:
     return smart_fill(base.join(features, KEY, "left"), columns)
 
 
+HOT = 1_000  # a value with more than this part of its column's rows is hot
+
+
 def category_codes(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``column``, ``value``, ``code``: 0-based code by sorted value.
+    """``column``, ``value``, ``code`` (0-based by sorted value) and ``hot``, whether the value
+    has more than one row in ``HOT`` of its column.
 
-    Codes are numbered inside buckets of the first two bytes (at most 65,536 per
-    column, which bounds the offsets), so a column with very many categories is
-    sorted by many tasks.
+    Values lie in sampled ranges of (column, value), each sorted in its task; a code is the
+    place in the range on top of the column's values in the ranges before, of which there is
+    one row per range and column. However values are spread, no task holds a column.
     """
     entry = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in columns]))
-    distinct = (
-        df.select(entry.alias("e")).select("e.*").where("value IS NOT NULL").distinct()
-        .withColumn("bucket", F.substring(F.hex(F.encode("value", "UTF-8")), 1, 4))
-    )
-    before = Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        distinct.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n"))
-        .select("column", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    )
-    position = F.row_number().over(Window.partitionBy("column", "bucket").orderBy("value")) - 1
-    return distinct.withColumn("position", position).join(offsets, ["column", "bucket"]).select(
-        "column", "value", (F.col("offset") + F.col("position")).alias("code")
+    counted = df.select(entry.alias("e")).select("e.*").where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
+    ranged = counted.repartitionByRange("column", "value").sortWithinPartitions("column", "value")
+    # the id holds the range in its upper bits and the place in it below
+    placed = materialise(ranged.withColumn("place", F.monotonically_increasing_id()).withColumn("range", F.shiftright("place", 33)), "ranges")
+    before = Window.partitionBy("column").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy("column")
+    starts = placed.groupBy("column", "range").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.sum("rows").alias("all")).select(
+        "column", "range", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"), F.sum("all").over(every).alias("all")
     )
+    joined = placed.join(F.broadcast(starts), ["column", "range"])  # one row per range and column
+    return joined.select("column", "value", (F.col("offset") + F.col("place") - F.col("first")).alias("code"), (F.col("rows") * HOT > F.col("all")).alias("hot"))
 
 
 def encode(df: DataFrame, codes: DataFrame, columns: list[str]) -> DataFrame:
-    """Replace each value by its code, -1 when it has none."""
+    """Replace each value by its code, -1 when it has none.
+
+    Hot values, fewer than ``HOT`` per column, are looked up in a broadcast table; their rows
+    and those without a value join the rest of the dictionary under made-up keys that meet
+    nothing and lie apart, so no task gets the rows of one value.
+    """
     order = df.columns
     for c in columns:
-        mine = codes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias(f"{c}__code"))
-        df = df.withColumn(c, col(c).cast("string")).join(mine, c, "left")
-        df = df.withColumn(c, F.coalesce(f"{c}__code", F.lit(-1))).drop(f"{c}__code")
-    return df.select(*order)
+        mine = codes.where(F.col("column") == c)
+        often = mine.where("hot").select(F.col("value").alias("_hot"), F.col("code").alias("_often"))
+        rest = mine.where("NOT hot").select(F.struct("value", F.lit(0).alias("salt")).alias("_key"), F.col("code").alias("_code"))
+        text = col(c).cast("string")
+        df = df.withColumn("_value", text).join(F.broadcast(often), F.col("_value") == F.col("_hot"), "left")
+        alone = F.col("_often").isNotNull() | F.col("_value").isNull()
+        salt = F.when(alone, 1 + F.pmod(F.xxhash64(*[F.col(f"`{x}`") for x in order]), F.lit(65_536))).otherwise(0).cast("int")
+        key = F.struct(F.when(alone, "").otherwise(F.col("_value")).alias("value"), salt.alias("salt"))
+        df = df.withColumn("_key", key).join(rest, "_key", "left")
+        df = df.withColumn(c, F.coalesce("_often", "_code", F.lit(-1))).select(*order)
+    return df
 
 
 def ordinal_encode(df: DataFrame, fitted_on: DataFrame, columns: list[str]) -> DataFrame:
