@@ -332,6 +332,18 @@ p AS (SELECT s.id AS submission, any_value(s.sk_id_curr) AS sk_id_curr, any_valu
   LEFT JOIN d ON d.sk_id_curr = s.sk_id_curr AND d.created_at >= s.created_at AND d.created_at <= s.created_at + INTERVAL 2 DAYS WHERE s.status = 'submitted' GROUP BY s.id)
 SELECT submission, sk_id_curr, round((epoch_us(done) - epoch_us(sent)) / 1e6, 6) AS seconds FROM p""",
     ),
+    "stream_decisions": with_views(
+        _ONLINE_VIEWS,
+        _ONLINE
+        + """, p AS (SELECT sk_id_curr, CASE WHEN coalesce(a, e, d) IS NOT NULL
+  THEN 1 / (1 + exp(-(-0.5 - 0.02 * coalesce(a, 0) + 0.01 * coalesce(e, 0) + 0.005 * coalesce(d, 0)))) END AS p FROM online)
+SELECT sk_id_curr, round(p, 6) AS probability, CASE WHEN p IS NULL THEN 'under-review' WHEN p >= 0.3::DOUBLE THEN 'reject' ELSE 'approve' END AS decision,
+  0.3::DOUBLE AS threshold, 'scorecard' AS model, '1' AS version, CASE WHEN p IS NULL THEN 'feature_data_unavailable' END AS reason FROM p""",
+    ),
+    "stream_dead_letters": _app(
+        f"SELECT {_ID} AS sk_id_curr, CASE WHEN SK_ID_CURR % 1000 = 50 THEN 'parked' ELSE 'stored' END AS outcome "
+        f"FROM f_application_train WHERE SK_ID_CURR % 53 <> 0 AND {_READABLE}"
+    ),
     "flow_check": with_views(
         ["status_log"],
         """SELECT topic, count(status) AS messages, CAST(count(status) >= 100 AS BIGINT) AS flowing

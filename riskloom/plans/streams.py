@@ -14,7 +14,7 @@ from riskloom.plans.marts import over
 from riskloom.session import fresh_path, materialise
 from riskloom.sources import files, messages, schemas, tables
 from riskloom.sources.domain import base_table, view
-from riskloom.streaming import jobs, latency, readiness, store
+from riskloom.streaming import jobs, latency, readiness, scoring, store
 
 DAY = 86_400
 NOW = "2024-01-31 00:00:00"
@@ -532,6 +532,51 @@ def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latency.read_latency(spark, f"{root}/out").where("submission >= 0")
 
 
+# Weights of a scorecard over the three live values, in the order of the views.
+SCORECARD = {"application_features": -0.02, "external_features": 0.01, "dwh_features": 0.005}
+
+
+def scorecard(rows: DataFrame) -> DataFrame:
+    """A logistic score over the live values; an absent value counts 0."""
+    total = F.lit(-0.5)
+    for name, weight in SCORECARD.items():
+        total = total + weight * F.coalesce(f"{name}__last_value", F.lit(0.0))
+    return rows.withColumn("probability", 1 / (1 + F.exp(-total)))
+
+
+def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request per customer, every third in an envelope, decided on the stream; customers
+    without live features go under review."""
+    root = fresh_path(spark, "stream-decisions")
+    arrivals = view(spark, sf_dir, "source_arrivals")
+    plain = F.to_json(F.struct("sk_id_curr"))
+    wrapped = F.to_json(F.struct(F.lit("1.0").alias("specversion"), F.lit("request").alias("type"), F.struct("sk_id_curr").alias("data")))
+    texts = ids(view(spark, sf_dir, "application_train")).select(F.when(F.col("sk_id_curr").cast("long") % 3 == 0, wrapped).otherwise(plain).alias("value"))
+    source = files.text_stream(spark, _spread(texts, f"{root}/in"))
+    now = F.lit(NOW).cast("timestamp")
+    scoring.decisions_job(source, lambda: online_views(arrivals), scorecard, f"{root}/out", f"{root}/checkpoint", "scorecard", "1", now=now).awaitTermination()
+    schema = spark.createDataFrame([], scoring.RECORD).schema
+    return store.read_latest(spark, f"{root}/out", schema, "sk_id_curr", ["ts"]).drop("ts")
+
+
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change messages into a sink that refuses one customer in a thousand: these rows alone are
+    parked, all others of their batches stored."""
+    root = fresh_path(spark, "stream-dead")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        key = F.col("sk_id_curr")
+        refused = F.when(key.cast("long") % 1000 == 50, F.raise_error(F.concat(F.lit("refused "), key))).otherwise(key)
+        rows = jobs.change_keys(batch).select(refused.cast("string").alias("sk_id_curr"))
+        rows.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+
+    source = files.text_stream(spark, _spread(change_messages(spark, sf_dir), f"{root}/in"))
+    jobs.start(source, sink, f"{root}/checkpoint", parked=f"{root}/dead").awaitTermination()
+    stored = spark.read.schema("sk_id_curr string").parquet(f"{root}/out").select("sk_id_curr", F.lit("stored").alias("outcome"))
+    parked = spark.read.schema("value string, reason string").option("recursiveFileLookup", "true").parquet(f"{root}/dead")
+    return stored.unionByName(jobs.change_keys(parked).select("sk_id_curr", F.lit("parked").alias("outcome")))
+
+
 QUERIES = {
     "src_csv_roundtrip": csv_roundtrip,
     "src_load_ledger": load_ledger,
@@ -577,4 +622,6 @@ QUERIES = {
     "stream_feature_ready": stream_feature_ready,
     "stream_throughput": stream_throughput,
     "stream_latency": stream_latency,
+    "stream_decisions": stream_decisions,
+    "stream_dead_letters": stream_dead_letters,
 }

@@ -15,10 +15,12 @@ from riskloom.streaming import store
 
 
 def start(
-    stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None = None
+    stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None = None, parked: str | None = None
 ) -> StreamingQuery:
     """Run ``sink`` per micro-batch: once over what is available, or every
-    ``interval`` (for example "300 milliseconds")."""
+    ``interval`` (for example "300 milliseconds"). With ``parked`` a failing batch is tried
+    again, and rows at fault go to that folder; otherwise the query fails."""
+    sink = store.deliver_rows(sink, parked) if parked else sink
     writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.trigger(**trigger).start()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.latest import latest_by
+from riskloom.session import materialise
 
 
 def write_batch(batch: DataFrame, batch_id: int, path: str, key: str, order: list[str]) -> None:
@@ -48,3 +49,42 @@ def deliver(sink: Callable[[DataFrame, int], None], dead_letters: str, retries:
         batch.withColumn("reason", reason).write.mode("overwrite").parquet(f"{dead_letters}/batch_id={batch_id}")
 
     return run
+
+
+def deliver_rows(sink: Callable[[DataFrame, int], None], dead_letters: str, retries: int = 3) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that retries ``sink`` and, when it keeps failing, halves the batch
+    until the rows at fault stand alone: these are parked under ``dead_letters``, each with
+    its error, and all others delivered together. A sink that fails without any row is down: the
+    whole batch is parked. ``sink`` must replace what it wrote for the same batch before."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        def attempt(rows: DataFrame) -> str | None:
+            try:
+                sink(rows, batch_id)
+            except Exception as e:  # any sink failure counts as an attempt
+                return f"{type(e).__name__}: {e}"
+            return None
+
+        def park(rows: DataFrame) -> None:
+            rows.write.mode("overwrite").parquet(f"{dead_letters}/batch_id={batch_id}")
+
+        if not all(attempt(batch) for _ in range(1 + retries)):
+            return
+        kept = materialise(batch.withColumn("_row", F.monotonically_increasing_id()), "batch")
+
+        def at_fault(part: DataFrame) -> list[tuple[int, str]]:
+            ends = part.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_row", 0.5, 10_000).alias("middle")).first()
+            error = attempt(part.drop("_row")) if ends["n"] else None
+            if error is None:
+                return []
+            if ends["n"] == 1:
+                return [(ends["middle"], error)]
+            return at_fault(part.where(F.col("_row") <= ends["middle"])) + at_fault(part.where(F.col("_row") > ends["middle"]))
+
+        down = attempt(kept.limit(0).drop("_row"))
+        faults = [] if down else at_fault(kept)
+        bad = kept.sparkSession.createDataFrame(faults, "_row long, reason string")
+        down = down or attempt(kept.join(bad, "_row", "left_anti").drop("_row"))
+        park(kept.drop("_row").withColumn("reason", F.lit(down)) if down else kept.join(bad, "_row").drop("_row"))
+
+    return run
