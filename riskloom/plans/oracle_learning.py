@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from riskloom.operators.prepare import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from riskloom.plans.oracle_marts import (
     APP_INTS,
     APP_TEXTS,
@@ -51,20 +52,13 @@ def _whole(body: str) -> str:
     return with_views(_ALL, _MART_CTES + body)
 
 
-_NUMERIC = (
-    "EXT_SOURCE_3 EXT_SOURCE_2 EXT_SOURCE_1 DAYS_BIRTH AMT_GOODS_PRICE AMT_CREDIT AMT_ANNUITY DAYS_EMPLOYED "
-    "BUREAU_DEBT_TO_CREDIT_RATIO BUREAU_ACTIVE_CREDIT_SUM POS_MEAN_CONTRACT_LENGTH PREV_ANNUITY_MEAN "
-    "PREV_GOODS_TO_CREDIT_RATIO POS_LATEST_MONTH BUREAU_AMT_MAX_OVERDUE_EVER POS_TOTAL_MONTHS_OBSERVED "
-    "AMT_INCOME_TOTAL PREV_REFUSAL_RATE CNT_CHILDREN"
-).split()
-_CATEGORICAL = "CODE_GENDER NAME_EDUCATION_TYPE NAME_FAMILY_STATUS ORGANIZATION_TYPE NAME_INCOME_TYPE".split()
 _ZERO = ["PREV_ANNUITY_MEAN"]
 
 _IMPUTED = ", ".join(
-    [_r(f"coalesce({c}, 0)" if c in _ZERO else f"coalesce({c}, (SELECT median({c}) FROM whole))", c) for c in _NUMERIC]
+    [_r(f"coalesce({c}, 0)" if c in _ZERO else f"coalesce({c}, (SELECT median({c}) FROM whole))", c) for c in NUMERIC_FEATURES]
     + [
         f"coalesce({c}, (SELECT {c} FROM whole WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) AS {c}"
-        for c in _CATEGORICAL
+        for c in CATEGORICAL_FEATURES
     ]
 )
 
@@ -85,12 +79,39 @@ def _unique(source: str, table: str, key: str) -> str:
     )
 
 
-_TRAIN_COLUMNS = (
-    "SK_ID_CURR TARGET CODE_GENDER CNT_CHILDREN AMT_INCOME_TOTAL AMT_CREDIT AMT_ANNUITY AMT_GOODS_PRICE NAME_CONTRACT_TYPE "
-    "NAME_INCOME_TYPE NAME_EDUCATION_TYPE NAME_FAMILY_STATUS ORGANIZATION_TYPE DAYS_BIRTH DAYS_EMPLOYED EXT_SOURCE_1 "
-    "EXT_SOURCE_2 EXT_SOURCE_3 NAME_HOUSING_TYPE OCCUPATION_TYPE FLAG_MOBIL FLAG_EMP_PHONE FLAG_WORK_PHONE FLAG_PHONE "
-    "FLAG_EMAIL FLAG_OWN_CAR FLAG_OWN_REALTY OWN_CAR_AGE DAYS_ID_PUBLISH REGION_POPULATION_RELATIVE"
-).split() + [f"FLAG_DOCUMENT_{n}" for n in range(2, 22)]
+# Columns of the training table.
+_TRAIN_COLUMNS = [
+    "SK_ID_CURR",
+    "TARGET",
+    "CODE_GENDER",
+    "CNT_CHILDREN",
+    "AMT_INCOME_TOTAL",
+    "AMT_CREDIT",
+    "AMT_ANNUITY",
+    "AMT_GOODS_PRICE",
+    "NAME_CONTRACT_TYPE",
+    "NAME_INCOME_TYPE",
+    "NAME_EDUCATION_TYPE",
+    "NAME_FAMILY_STATUS",
+    "ORGANIZATION_TYPE",
+    "DAYS_BIRTH",
+    "DAYS_EMPLOYED",
+    "EXT_SOURCE_1",
+    "EXT_SOURCE_2",
+    "EXT_SOURCE_3",
+    "NAME_HOUSING_TYPE",
+    "OCCUPATION_TYPE",
+    "FLAG_MOBIL",
+    "FLAG_EMP_PHONE",
+    "FLAG_WORK_PHONE",
+    "FLAG_PHONE",
+    "FLAG_EMAIL",
+    "FLAG_OWN_CAR",
+    "FLAG_OWN_REALTY",
+    "OWN_CAR_AGE",
+    "DAYS_ID_PUBLISH",
+    "REGION_POPULATION_RELATIVE",
+] + [f"FLAG_DOCUMENT_{n}" for n in range(2, 22)]
 _TRAIN_TEXTS = [c for c in _TRAIN_COLUMNS if c.startswith("NAME_") or c in ("CODE_GENDER", "ORGANIZATION_TYPE", "OCCUPATION_TYPE")]
 _TRAIN_NUMBERS = [c for c in _TRAIN_COLUMNS if c not in _TRAIN_TEXTS and c not in ("SK_ID_CURR", "TARGET")]
 
@@ -250,10 +271,10 @@ LEARNING = {
 SELECT {passthrough(_APP_DOUBLES, [*APP_INTS, "TARGET"], APP_TEXTS)}, cc.* EXCLUDE (SK_ID_CURR)
 FROM f_application_train LEFT JOIN cc USING (SK_ID_CURR)""",
     ),
-    "model_features": _whole(f"SELECT SK_ID_CURR, {', '.join(_NUMERIC + _CATEGORICAL)}, TARGET FROM whole"),
+    "model_features": _whole(f"SELECT SK_ID_CURR, {', '.join(NUMERIC_FEATURES + CATEGORICAL_FEATURES)}, TARGET FROM whole"),
     "impute_features": _whole(f"SELECT SK_ID_CURR, TARGET, {_IMPUTED} FROM whole"),
     "feature_coverage": _whole(
-        " UNION ALL ".join(f"SELECT '{c}' AS feature, {_r(f'count({c}) * 100 / count(*)', 'coverage')} FROM whole" for c in _NUMERIC)
+        " UNION ALL ".join(f"SELECT '{c}' AS feature, {_r(f'count({c}) * 100 / count(*)', 'coverage')} FROM whole" for c in NUMERIC_FEATURES)
     ),
     "importance_by_family": _whole(
         f""", top AS (SELECT feature FROM ({_correlation(_EVERY_NUMBER, 'whole')}) ORDER BY round(abs(r) * 10, 9) DESC, feature LIMIT 20)
@@ -301,7 +322,7 @@ WHERE k > 0 OR lo < -1e10 OR hi > 1e10"""
     ),
     "risk_distribution": _DISTRIBUTION,
     "feature_availability": _app(
-        f"SELECT lower(f) AS name FROM (SELECT unnest({_NUMERIC + _CATEGORICAL}) AS f) "
+        f"SELECT lower(f) AS name FROM (SELECT unnest({NUMERIC_FEATURES + CATEGORICAL_FEATURES}) AS f) "
         f"WHERE f NOT IN ({', '.join(repr(c) for c in [*_APP_DOUBLES, *APP_INTS, *APP_TEXTS])})"
     ),
     "target_correlation": _app(
@@ -318,13 +339,13 @@ WHERE k > 0 OR lo < -1e10 OR hi > 1e10"""
     ),
     "drift_psi": with_views(["application_train", "application_test"], _PSI),
     "drift_ks": with_views(["application_train", "application_test"], _KS),
-    "clip_quantiles": _whole(f"SELECT SK_ID_CURR, {', '.join(_clipped(c) for c in _NUMERIC)} FROM whole"),
+    "clip_quantiles": _whole(f"SELECT SK_ID_CURR, {', '.join(_clipped(c) for c in NUMERIC_FEATURES)} FROM whole"),
     "smart_fill": with_views(_FILL_VIEWS, _FILLED),
     "ordinal_encode": _app(
         f""", placed AS (SELECT *, count(*) OVER (PARTITION BY TARGET) AS class_rows,
   row_number() OVER (PARTITION BY TARGET ORDER BY substr(md5(CAST(SK_ID_CURR AS VARCHAR) || '|42'), 1, 8), SK_ID_CURR) AS place FROM f_application_train),
 train AS (SELECT * FROM placed WHERE place > floor(0.2 * class_rows + 0.5))
-SELECT SK_ID_CURR, {', '.join(_code(c, 'train') for c in _CATEGORICAL)} FROM f_application_train x"""
+SELECT SK_ID_CURR, {', '.join(_code(c, 'train') for c in CATEGORICAL_FEATURES)} FROM f_application_train x"""
     ),
     "label_encode": _app(
         "SELECT SK_ID_CURR, "

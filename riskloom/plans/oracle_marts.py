@@ -277,15 +277,37 @@ loan AS (
     completed / TOTAL_MONTHS_OBSERVED AS COMPLETED_RATE, demand / TOTAL_MONTHS_OBSERVED AS DEMAND_RATE,
     (demand > 0)::INT AS EVER_DEMAND, (MAX_DPD > 30)::INT AS SEVERE_DPD_FLAG, (demand > 0)::INT AS IS_PROBLEM_LOAN
   FROM months LEFT JOIN tallies USING (SK_ID_PREV))"""
-_LOAN_INTS = (
-    "SK_ID_PREV SK_ID_CURR TOTAL_MONTHS_OBSERVED MAX_DPD MAX_DPD_DEF EARLIEST_MONTH LATEST_MONTH MONTHS_DPD_POSITIVE "
-    "MONTHS_DPD_7PLUS MONTHS_DPD_30PLUS MONTHS_ACTIVE MONTHS_COMPLETED MONTHS_DEMAND EVER_DEMAND SEVERE_DPD_FLAG "
-    "IS_PROBLEM_LOAN"
-).split()
-_LOAN_DOUBLES = (
-    "MEAN_DPD MAX_CNT_INSTALMENT MIN_CNT_INSTALMENT_FUTURE REPAYMENT_PROGRESS_RATIO DPD_RATE DPD_7PLUS_RATE "
-    "DPD_30PLUS_RATE ACTIVE_RATE COMPLETED_RATE DEMAND_RATE"
-).split()
+# Columns by type.
+_LOAN_INTS = [
+    "SK_ID_PREV",
+    "SK_ID_CURR",
+    "TOTAL_MONTHS_OBSERVED",
+    "MAX_DPD",
+    "MAX_DPD_DEF",
+    "EARLIEST_MONTH",
+    "LATEST_MONTH",
+    "MONTHS_DPD_POSITIVE",
+    "MONTHS_DPD_7PLUS",
+    "MONTHS_DPD_30PLUS",
+    "MONTHS_ACTIVE",
+    "MONTHS_COMPLETED",
+    "MONTHS_DEMAND",
+    "EVER_DEMAND",
+    "SEVERE_DPD_FLAG",
+    "IS_PROBLEM_LOAN",
+]
+_LOAN_DOUBLES = [
+    "MEAN_DPD",
+    "MAX_CNT_INSTALMENT",
+    "MIN_CNT_INSTALMENT_FUTURE",
+    "REPAYMENT_PROGRESS_RATIO",
+    "DPD_RATE",
+    "DPD_7PLUS_RATE",
+    "DPD_30PLUS_RATE",
+    "ACTIVE_RATE",
+    "COMPLETED_RATE",
+    "DEMAND_RATE",
+]
 _POS = [
     (I, "count(*)", "POS_COUNT_LOANS_TOTAL"),
     (I, "sum(IS_PROBLEM_LOAN)", "POS_COUNT_PROBLEM_LOANS"),
@@ -462,20 +484,48 @@ _STAGING = """SELECT SK_ID_CURR AS application_id, TARGET AS is_default, AMT_CRE
   CAST(EXT_SOURCE_1 IS NULL AND EXT_SOURCE_2 IS NULL AND EXT_SOURCE_3 IS NULL AS BIGINT) AS missing_all_external_scores
 FROM f_application_train WHERE AMT_CREDIT > 0"""
 _APP_DOUBLES = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE"]
-APP_INTS = (
-    "SK_ID_CURR CNT_CHILDREN DAYS_BIRTH DAYS_EMPLOYED FLAG_MOBIL FLAG_EMP_PHONE FLAG_WORK_PHONE FLAG_PHONE FLAG_EMAIL "
-    "FLAG_OWN_CAR FLAG_OWN_REALTY OWN_CAR_AGE"
-).split() + [f"FLAG_DOCUMENT_{i}" for i in range(2, 22)]
-APP_TEXTS = (
-    "NAME_CONTRACT_TYPE NAME_INCOME_TYPE NAME_EDUCATION_TYPE NAME_FAMILY_STATUS NAME_HOUSING_TYPE OCCUPATION_TYPE "
-    "ORGANIZATION_TYPE"
-).split()
+# Columns by type.
+APP_INTS = [
+    "SK_ID_CURR",
+    "CNT_CHILDREN",
+    "DAYS_BIRTH",
+    "DAYS_EMPLOYED",
+    "FLAG_MOBIL",
+    "FLAG_EMP_PHONE",
+    "FLAG_WORK_PHONE",
+    "FLAG_PHONE",
+    "FLAG_EMAIL",
+    "FLAG_OWN_CAR",
+    "FLAG_OWN_REALTY",
+    "OWN_CAR_AGE",
+] + [f"FLAG_DOCUMENT_{i}" for i in range(2, 22)]
+APP_TEXTS = [
+    "NAME_CONTRACT_TYPE",
+    "NAME_INCOME_TYPE",
+    "NAME_EDUCATION_TYPE",
+    "NAME_FAMILY_STATUS",
+    "NAME_HOUSING_TYPE",
+    "OCCUPATION_TYPE",
+    "ORGANIZATION_TYPE",
+]
 _AT = ["application_train"]
-_CARD_NUMBERS = (
-    "SK_ID_PREV MONTHS_BALANCE AMT_BALANCE AMT_CREDIT_LIMIT_ACTUAL AMT_PAYMENT_CURRENT AMT_INST_MIN_REGULARITY SK_DPD "
-    "AMT_DRAWINGS_CURRENT AMT_DRAWINGS_ATM_CURRENT AMT_DRAWINGS_POS_CURRENT AMT_DRAWINGS_OTHER_CURRENT "
-    "CNT_DRAWINGS_CURRENT CNT_DRAWINGS_ATM_CURRENT CNT_DRAWINGS_POS_CURRENT"
-).split()
+# Numeric columns of the card table.
+_CARD_NUMBERS = [
+    "SK_ID_PREV",
+    "MONTHS_BALANCE",
+    "AMT_BALANCE",
+    "AMT_CREDIT_LIMIT_ACTUAL",
+    "AMT_PAYMENT_CURRENT",
+    "AMT_INST_MIN_REGULARITY",
+    "SK_DPD",
+    "AMT_DRAWINGS_CURRENT",
+    "AMT_DRAWINGS_ATM_CURRENT",
+    "AMT_DRAWINGS_POS_CURRENT",
+    "AMT_DRAWINGS_OTHER_CURRENT",
+    "CNT_DRAWINGS_CURRENT",
+    "CNT_DRAWINGS_ATM_CURRENT",
+    "CNT_DRAWINGS_POS_CURRENT",
+]
 CARD_AVERAGES = [(D, f"avg({c})", f"cc_avg_{c}") for c in _CARD_NUMBERS]
 MARTS |= {
     "mart_application": with_views(

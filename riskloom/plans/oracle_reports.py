@@ -45,17 +45,32 @@ _SEGMENT_VIEWS = ["application_train", "bureau", "previous_application"]
 _SEGMENT_COLUMNS = columns(
     *[
         (I, c, c)
-        for c in (
-            "SK_ID_CURR TARGET PREV_APP_COUNT PREV_APP_APPROVED PREV_APP_REFUSED BUREAU_COUNT BUREAU_ACTIVE_COUNT "
-            "BUREAU_CLOSED_COUNT DAYS_FIRST_CREDIT IS_FIRST_TIME_CUSTOMER IS_CREDIT_VIRGIN"
-        ).split()
+        for c in [
+            "SK_ID_CURR",
+            "TARGET",
+            "PREV_APP_COUNT",
+            "PREV_APP_APPROVED",
+            "PREV_APP_REFUSED",
+            "BUREAU_COUNT",
+            "BUREAU_ACTIVE_COUNT",
+            "BUREAU_CLOSED_COUNT",
+            "DAYS_FIRST_CREDIT",
+            "IS_FIRST_TIME_CUSTOMER",
+            "IS_CREDIT_VIRGIN",
+        ]
     ],
     *[
         (D, c, c)
-        for c in (
-            "AMT_INCOME_TOTAL PREV_APP_AMT_MEAN PREV_APP_CREDIT_MEAN BUREAU_TOTAL_DEBT BUREAU_TOTAL_OVERDUE "
-            "PREV_APPROVAL_SHARE MONTHS_CREDIT_HISTORY EXTERNAL_DEBT_INCOME_RATIO"
-        ).split()
+        for c in [
+            "AMT_INCOME_TOTAL",
+            "PREV_APP_AMT_MEAN",
+            "PREV_APP_CREDIT_MEAN",
+            "BUREAU_TOTAL_DEBT",
+            "BUREAU_TOTAL_OVERDUE",
+            "PREV_APPROVAL_SHARE",
+            "MONTHS_CREDIT_HISTORY",
+            "EXTERNAL_DEBT_INCOME_RATIO",
+        ]
     ],
     (S, "CUSTOMER_RISK_SEGMENT", "CUSTOMER_RISK_SEGMENT"),
 )

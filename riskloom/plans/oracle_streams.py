@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from riskloom.functions.decisions import DOCUMENT_FOLDERS
 from riskloom.operators.cdc import FEATURES
 from riskloom.operators.enrich import SCORE_FIELDS
 from riskloom.plans.oracle_marts import (
@@ -119,23 +120,7 @@ y AS (SELECT x.sk_id_curr, (epoch_us(min(l.created_at)) - epoch_us(any_value(x.s
 SELECT count(*) AS submitted, count(s) AS decided, round(avg(s), 6) AS mean_s, round(quantile_cont(s, 0.5), 6) AS p50_s,
   round(quantile_cont(s, 0.95), 6) AS p95_s, round(quantile_cont(s, 0.99), 6) AS p99_s FROM y"""
 
-_FOLDERS = {
-    "identity": (2, 15),
-    "financial/income": (3,),
-    "employment": (4, 18, 20),
-    "financial/banking": (5,),
-    "personal": (6, 7, 8, 11, 12, 13, 14, 17),
-    "financial/insurance": (9,),
-    "financial/tax": (10,),
-    "financial/pension": (16,),
-    "financial/credit": (19,),
-    "other": (21,),
-}
-_FOLDER = (
-    "CASE "
-    + " ".join(f"WHEN c_custkey % 24 IN ({', '.join(map(str, v))}) THEN '{k}'" for k, v in _FOLDERS.items())
-    + " END"
-)
+_FOLDER = "CASE " + " ".join(f"WHEN c_custkey % 24 = {n} THEN '{folder}'" for n, folder in DOCUMENT_FOLDERS.items()) + " END"
 
 _BUREAU_TEXTS = ["CREDIT_ACTIVE", "CREDIT_TYPE"]
 _BUREAU_INTS = ["SK_ID_CURR", "SK_ID_BUREAU", "CREDIT_DAY_OVERDUE", "CNT_CREDIT_PROLONG", "DAYS_CREDIT"]
