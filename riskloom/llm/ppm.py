@@ -4,7 +4,8 @@ The model is a byte-context trie of order ``ORDER``: for every context of up to
 bytes, which symbols followed how often in the training documents. A symbol that its
 context has not seen costs an escape (method C: distinct symbols over distinct symbols plus
 total) to the next shorter context, where the symbols of the longer one are excluded; below
-order 0 all symbols left are equally likely. A text's score is the log10 probability of its
+order 0 all symbols left are equally likely. A-Z are read in lower case, by the trie as by the
+words. A text's score is the log10 probability of its
 bytes and its end. Beside it stands a unigram word model with add-one counts.
 
 Neither the trie nor the vocabulary is ever whole in one place. Documents fall into blocks
@@ -30,14 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import buckets, flat, held_out, keyed, text_bytes, with_id
+from riskloom.llm.common import ascii_lower, buckets, flat, held_out, keyed, with_id
 from riskloom.session import materialise
 
 ORDER = 4
 START, END = 0xFE, 0xFF  # bytes that UTF-8 never has
 BLOCK_BYTES = 24 << 20
 CHUNK = 2 << 20
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def codes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +76,7 @@ def _tell(table: pa.Table) -> pa.Table:
     for i, j in _chunks(at):
         part = data[at[i] : at[j]]
         for k in range(i, j):
-            own = data[at[k] : at[k + 1]].tobytes().translate(_LOWER).split()
+            own = data[at[k] : at[k + 1]].tobytes().split()
             if train[k]:
                 words.update(own)
                 words[b""] += 1
@@ -121,7 +121,7 @@ def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
         own, begin = codes(data[at[i] : at[j]], at[i : j + 1] - at[i])
         score[i:j] = np.add.reduceat(chance[np.searchsorted(code, own)], begin[:-1])
         for k in range(i, j):
-            words = Counter(data[at[k] : at[k + 1]].tobytes().translate(_LOWER).split())
+            words = Counter(data[at[k] : at[k + 1]].tobytes().split())
             words[b""] += 1
             times = np.fromiter(words.values(), np.int64, len(words))
             c = np.fromiter(map(counts.__getitem__, words), np.float64, len(words))
@@ -171,7 +171,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts
     """Per document: ``id_col``, held_out, n_tokens, n_known, train_tokens, base_score and score.
     Documents whose crc32(id as text) mod ``parts`` is 2 are held out of training."""
     table, plain = keyed(docs, id_col, text_col)
-    texts = table.select("_u", text_bytes(text_col).alias("body"), (~held_out(id_col, parts)).alias("train"))
+    texts = table.select("_u", ascii_lower(F.coalesce(text_col, F.lit(""))).cast("binary").alias("body"), (~held_out(id_col, parts)).alias("train"))
     n = buckets(texts, F.length("body"), BLOCK_BYTES)
     texts = texts.withColumn("block", F.pmod(F.xxhash64("_u"), F.lit(n)).cast("int"))
     told = materialise(texts.groupBy("block").applyInArrow(_tell, "block int, word binary, code long, n long"), "told")
