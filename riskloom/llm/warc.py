@@ -8,8 +8,10 @@ which leaves the file a valid multi-member gzip. Of records with equal payloads
 The reader takes whole files (``binaryFile``) and trusts nothing: version line, headers,
 length, end of record and payload digest must all hold. Where one fails, it searches for
 the next gzip member (or version line, in plain archives) that holds a valid record,
-goes on from there, and logs the bytes between as a quarantined gap with the reason.
-Files are cut at ``file_records`` records, which bounds what a reader holds.
+goes on from there, and logs the bytes between as a quarantined gap with the reason. A member
+that is torn or holds damage gives the valid records before and behind the damage, as far as
+it inflates. Files are cut at ``file_records`` records, and pages of over ``LONG`` bytes go to files
+of their own, cut by bytes, which bounds what a reader holds.
 
 Defined cases: null payloads are empty; a null id is written as ``null`` and comes before
 all others; rows with equal ids are records of their own (several may be the response of
@@ -34,6 +36,7 @@ from riskloom.llm.common import keyed, text_bytes
 SEPARATOR = bytes.fromhex("1f8b080000000000000303000000000000000000").decode("latin-1")
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 MEMBER = b"\x1f\x8b\x08"
+LONG, FILE_BYTES = 1 << 18, 1 << 29
 LARGEST = 1 << 31  # bytes of a record; a length beyond it is taken for damage
 
 
@@ -63,6 +66,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     large = rows.where(F.length("body") >= least).select("_u", "id", F.length("body").alias("n"), "digest")
     last = large.groupBy("digest", "n").agg(F.max("id").alias("last"), F.count("*").alias("rows")).where("rows > 1").select("digest", "n", "last")
     again = large.join(last, ["digest", "n"]).where(~F.col("id").eqNullSafe(F.col("last"))).select("_u", F.coalesce(F.col("last").cast("string"), F.lit("null")).alias("refers_to"))
+    longest = rows.agg(F.max(F.length("body"))).first()[0] or 0
     joined = rows.drop("id").join(again, "_u", "left").select("page", "url", "body", "digest", "refers_to")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,8 +74,13 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
             made = [_member(record(page, url, body, len(body), digest, ref)) for page, url, body, digest, ref in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["member"])
 
-    members = joined.mapInArrow(pack, "member binary").select(F.col("member").cast("string").alias("value"))
-    members.write.option("lineSep", SEPARATOR).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", file_records).text(path)
+    def write(part: DataFrame, most: int) -> None:
+        members = part.mapInArrow(pack, "member binary").select(F.col("member").cast("string").alias("value"))
+        members.write.mode("append").option("lineSep", SEPARATOR).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", most).text(path)
+
+    write(joined.where(F.length("body") <= LONG), file_records)
+    if longest > LONG:
+        write(joined.where(F.length("body") > LONG), max(1, FILE_BYTES // longest))
 
 
 class Damage(ValueError):
@@ -122,62 +131,79 @@ def page_of(urn: str | None) -> str | None:
     return urn[len("<urn:page:") : -1] if urn and urn.startswith("<urn:page:") and urn.endswith(">") else urn
 
 
-def _inflate(data: bytes, at: int) -> tuple[bytes, int]:
-    packed = zlib.decompressobj(31)
-    try:
-        body = packed.decompress(memoryview(data)[at:], LARGEST)
-    except zlib.error as e:
-        raise Damage(f"gzip member: {e}") from None
+def _inflate(data: bytes, at: int) -> tuple[bytes, int | None, str | None]:
+    """What the gzip member at ``at`` inflates to, where it ends, and, if it is damaged, why: then
+    the bytes are those before the damage, and the end is unknown."""
+    packed, out, size = zlib.decompressobj(31), [], 1 << 14
+    while not packed.eof and at < len(data):
+        before, chunk = packed.copy(), data[at : at + size]
+        try:
+            out.append(packed.decompress(chunk))
+        except zlib.error as e:
+            try:  # again byte by byte: a failing call gives none of its bytes
+                for k in range(len(chunk)):
+                    out.append(before.decompress(chunk[k : k + 1]))
+            except zlib.error:
+                pass
+            return b"".join(out), None, f"gzip member: {e}"
+        at, size = at + len(chunk), min(2 * size, 1 << 20)
     if not packed.eof:
-        raise Damage("gzip member without an end")
-    return body, len(data) - len(packed.unused_data)
+        return b"".join(out), None, "gzip member without an end"
+    return b"".join(out), at - len(packed.unused_data), None
+
+
+def _inside(body: bytes) -> tuple[list[dict], str | None]:
+    """Valid records of a member's bytes, and the first reason why bytes between are not."""
+    found, reason, k = [], None, 0
+    while k < len(body):
+        try:
+            got, k = parse(body, k)
+            found.append(got)
+        except Damage as damage:
+            reason = reason or str(damage)
+            version = VERSION.search(body, k + 1)
+            k = version.start() if version else len(body)
+    return found, reason
 
 
-def _next(data: bytes, at: int) -> tuple[list[dict], int]:
-    """Records of the member or the plain record at ``at``, and where it ends."""
+def _at(data: bytes, at: int) -> tuple[list[dict], int | None, str | None]:
+    """Valid records of the member or the plain record at ``at``, where it ends (None: unknown),
+    and what is wrong with it."""
     if not data.startswith(MEMBER, at):
-        got, stop = parse(data, at)
-        return [got], stop
-    # the slice keeps unused_data, which is copied, short
-    for limit in (1 << 16, 1 << 20, 1 << 24, len(data)):
-        window = data[at : at + limit]
         try:
-            body, used = _inflate(window, 0)
-            break
-        except Damage:
-            if at + limit >= len(data):
-                raise
-    found, k = [], 0
-    while k < len(body):
-        got, k = parse(body, k)
-        found.append(got)
-    return found, at + used
+            got, stop = parse(data, at)
+        except Damage as damage:
+            return [], None, str(damage)
+        return [got], stop, None
+    body, stop, torn = _inflate(data, at)
+    found, reason = _inside(body)
+    return found, stop, torn or reason
+
+
+def _next(data: bytes, at: int) -> int:
+    """Where, behind ``at``, the next member or plain record begins that holds a valid record."""
+    while True:
+        places = [p for p in (data.find(MEMBER, at + 1), next((m.start() for m in VERSION.finditer(data, at + 1)), -1)) if p >= 0]
+        if not places:
+            return len(data)
+        at = min(places)
+        found, _, reason = _at(data, at)
+        if found or not reason:
+            return at
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
-    """("record", offset, end, record) and ("gap", offset, end, reason) over a file."""
+    """("record", offset, end, record) and ("gap", offset, end, reason) over a file. A damaged
+    member is a gap whole; records that it still holds come before it, without bytes of their own."""
     at = 0
     while at < len(data):
-        try:
-            found, stop = _next(data, at)
-        except Damage as damage:
-            stop = at
-            while True:
-                places = [p for p in (data.find(MEMBER, stop + 1), next((m.start() for m in VERSION.finditer(data, stop + 1)), -1)) if p >= 0]
-                if not places:
-                    stop = len(data)
-                    break
-                stop = min(places)
-                try:
-                    _next(data, stop)
-                    break
-                except Damage:
-                    continue
-            yield "gap", at, stop, str(damage)
-            at = stop
-            continue
+        found, stop, reason = _at(data, at)
+        if stop is None:
+            stop = _next(data, at)
         for got in found:
-            yield "record", at, stop, got
+            yield "record", at, at if reason else stop, got
+        if reason:
+            yield "gap", at, stop, reason
         at = stop
 
 

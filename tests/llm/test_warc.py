@@ -84,3 +84,41 @@ def test_reasons():
     for data, reason in [(b"junk" + a, "no version line"), (a[:-3], "no end of record"), (a.replace(b"page 0", b"page 9", 1), "digest"), (a.replace(b"Content-Length: ", b"Content-Length: x", 1), "length"), (a[:40], "colon")]:
         gaps = [g for k, _, _, g in W.salvage(data + b) if k == "gap"]
         assert len(gaps) == 1 and reason in gaps[0], reason
+
+
+def pages_of(data):
+    return [got["page"] for k, _, _, got in W.salvage(data) if k == "record"], [g for k, _, _, g in W.salvage(data) if k == "gap"]
+
+
+def test_several_records_in_a_member():
+    made = records(5)
+    assert pages_of(W._member(b"".join(made))) == (["0", "1", "2", "3", "4"], [])
+    made[2] = made[2].replace(b"page 2", b"page 7", 1)
+    behind = W._member(records(6)[5])
+    pages, gaps = pages_of(W._member(b"".join(made)) + behind)
+    assert pages == ["0", "1", "3", "4", "5"] and len(gaps) == 1 and "digest" in gaps[0]
+    assert pages_of(b"".join(made))[0] == ["0", "1", "3", "4"]
+
+
+def test_torn_member():
+    body = random.Random(1).randbytes(40_000).hex().encode()
+    made = records(4) + [W.record("4", None, body, len(body), hashlib.sha1(body).hexdigest(), None)]
+    whole, behind = W._member(b"".join(made)), W._member(records(6)[5])
+    pages, gaps = pages_of(whole[:-3000])
+    assert pages == ["0", "1", "2", "3"] and gaps == ["gzip member without an end"]
+    pages, gaps = pages_of(whole[:-3000] + behind)
+    assert pages == ["0", "1", "2", "3", "5"] and len(gaps) == 1
+    flipped = bytearray(whole)
+    flipped[-6] ^= 1  # the checksum alone
+    pages, gaps = pages_of(bytes(flipped) + behind)
+    assert pages == ["0", "1", "2", "3", "4", "5"] and len(gaps) == 1 and "check" in gaps[0]
+
+
+def test_long_pages_in_files_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "LONG", 1000)
+    monkeypatch.setattr(W, "FILE_BYTES", 5000)
+    rows = [(k, "u", random.Random(k).randbytes(1000).hex() if k % 4 == 0 else "s" * k) for k in range(40)]
+    W.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), f"{tmp_path}/w", file_records=10)
+    got = {(r["page"], r["payload_bytes"]) for r in W.read_archives(spark, f"{tmp_path}/w").collect()}
+    assert got == {(str(k), len(h)) for k, _, h in rows}
+    assert len(list((tmp_path / "w").glob("part-*"))) >= 8 and max(f.stat().st_size for f in (tmp_path / "w").glob("part-*")) < 8000
