@@ -47,6 +47,11 @@ def rejected_keys(keys: DataFrame, key: str = "sk_id_curr") -> DataFrame:
     return keys.where(F.col(key).try_cast("bigint").isNull())
 
 
+def now() -> Column:
+    """Seconds since the epoch to the microsecond, the same for all rows of a batch."""
+    return F.unix_micros(F.current_timestamp()) / F.lit(1e6)
+
+
 def _record(fields: list[str]) -> Column:
     return F.struct(*[F.col(f.upper()).alias(f) for f in fields])
 
@@ -100,7 +105,7 @@ def enrich_bureau(
             F.coalesce("bureau", empty_b).alias("bureau"),
             F.coalesce("bureau_balance", empty_h).alias("bureau_balance"),
             "external_scores",
-            F.unix_timestamp().cast("double").alias("ts"),
+            now().alias("ts"),
         )
     )
 
@@ -122,7 +127,7 @@ def enrich_warehouse(keys: DataFrame, marts: list[DataFrame]) -> DataFrame:
         columns = [c for c in mart.columns if c.lower() != KEY.lower()]
         out = out.join(mart, KEY, "left")
         names += columns
-    return out.select(F.col("key").alias("sk_id_curr"), F.unix_timestamp().cast("double").alias("ts"), *[F.col(c).alias(c.lower()) for c in names])
+    return out.select(F.col("key").alias("sk_id_curr"), now().alias("ts"), *[F.col(c).alias(c.lower()) for c in names])
 
 
 def cut_to(keys: DataFrame, table: DataFrame) -> DataFrame:

@@ -252,7 +252,7 @@ def sorted_out(parsed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     bad = F.col("_corrupt_record").isNotNull() | F.col("sk_id_curr").isNull()
     several = F.coalesce(F.col("parts"), F.lit(1)) > 1
     text = F.coalesce("_corrupt_record", F.to_json(F.struct(*PART))).alias("value")
-    key = F.concat_ws("|", "sk_id_curr", "part").alias("part_key")
+    key = F.concat_ws("|", "sk_id_curr", "part", "ts").alias("part_key")
     return parsed.where(~bad & ~several), parsed.where(~bad & several).select(key, *PART), parsed.where(bad).select(text)
 
 

@@ -70,14 +70,15 @@ def bureau_features_job(messages: DataFrame, features: str, parts: str, dead_let
 
 
 def read_bureau_features(spark: SparkSession, features: str, parts: str) -> DataFrame:
-    """Newest external features of every customer, from whole messages or from all parts
-    that came with the customer's newest split message."""
+    """Newest external features of every customer, from whole messages or from the newest split
+    message of which all parts have come; until then the features before it hold."""
     parsed = nested.parse_messages(spark.createDataFrame([], "value string"))
     whole, split, _ = nested.sorted_out(parsed)
     schema = nested.nested_features(whole).schema
     rows = store.read_latest(spark, parts, split.schema, "part_key", ["ts"]).drop("part_key")
-    newest = rows.groupBy("sk_id_curr").agg(F.max("ts").alias("ts"))
-    rows = rows.join(newest.withColumnRenamed("ts", "newest"), "sk_id_curr").where(F.col("ts").eqNullSafe(F.col("newest")))
+    message = rows.groupBy("sk_id_curr", "ts").agg(F.count(F.lit(1)).alias("came"), F.max("parts").alias("wanted"))
+    newest = message.where("came >= wanted").groupBy("sk_id_curr").agg(F.max("ts").alias("newest"))
+    rows = rows.join(newest, "sk_id_curr").where(F.col("ts").eqNullSafe(F.col("newest")))
     both = store.read_latest(spark, features, schema, "sk_id_curr", ["ts"]).unionByName(nested.split_features(rows.drop("newest")))
     return latest_by(both, "sk_id_curr", ["ts"])
 

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.functions import cdc
 from riskloom.functions.decisions import SERVICE_THRESHOLD, decide
+from riskloom.operators import enrich
 from riskloom.operators.latest import online_features
 from riskloom.streaming import store
 from riskloom.streaming.jobs import start
@@ -42,7 +43,7 @@ def decide_requests(
         F.lit(model).alias("model"),
         F.lit(version).alias("version"),
         F.when(~scored, "feature_data_unavailable").alias("reason"),
-        F.unix_timestamp().cast("double").alias("ts"),
+        enrich.now().alias("ts"),
     )
 
 

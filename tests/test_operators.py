@@ -1,5 +1,6 @@
 """Operators against brute force on small data, and their behaviour under skew."""
 
+import json
 import random
 
 import numpy as np
@@ -105,6 +106,22 @@ def test_split_customers_over_micro_batches(spark, sf_dir):
     assert spark.read.parquet(paths[2]).count() == 3
 
 
+def test_split_customer_waits_for_all_parts(spark):
+    root = fresh_path(spark, "test-wait")
+    paths = [f"{root}/{n}" for n in ("features", "parts", "dead")]
+
+    def message(part, parts, ts, *loans):
+        bureau = [{"sk_id_bureau": n, "credit_active": "Active"} for n in loans]
+        return json.dumps({"sk_id_curr": "1", "part": part, "parts": parts, "bureau": bureau, "bureau_balance": [], "ts": ts})
+
+    counts = []
+    for text in [message(0, 2, 1.25, 1, 2), message(1, 2, 1.25, 3), message(1, 2, 1.5, 4), message(0, 2, 1.5, 5), message(0, 1, 1.75, 6)]:
+        spark.createDataFrame([(text,)], "value string").write.mode("append").text(f"{root}/in")
+        jobs.bureau_features_job(files.text_stream(spark, f"{root}/in"), *paths, f"{root}/check").awaitTermination()
+        counts.append([r["BUREAU_TOTAL_COUNT"] for r in jobs.read_bureau_features(spark, *paths[:2]).collect()])
+    assert counts == [[], [3], [3], [2], [1]]
+
+
 def test_nested_edge_messages(spark):
     texts = [
         '{"sk_id_curr": "1", "bureau": [], "bureau_balance": [], "external_scores": {"ext_source_1": "0.5"}, "ts": 1.0}',
