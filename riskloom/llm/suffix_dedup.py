@@ -45,6 +45,7 @@ from riskloom.llm.common import buckets, flat, keyed, text_bytes, tidy, tidy_gro
 from riskloom.session import materialise
 
 GRAM = 48
+LEVEL = 3  # of compression, for what is shuffled packed
 LONGEST = 256  # windows in a phrase; longer runs come from periodic text
 
 
@@ -67,7 +68,7 @@ _CLASS = [("hi", "<u8"), ("lo", "<u8"), ("u", "<i8"), ("a", "<i8")]
 
 def _pack(columns: list[np.ndarray], fields: list) -> bytes:
     body = b"".join(np.ascontiguousarray(c, t).tobytes() for c, (_, t) in zip(columns, fields, strict=True))
-    return zstandard.compress(body, 1)
+    return zstandard.compress(body, LEVEL)
 
 
 def _unpack(blobs, fields: list) -> list[np.ndarray]:
@@ -332,7 +333,7 @@ def _compare(length: int, n_buckets: int, keep: bool, sizes: Sizes):
                 body = data[at[k] : at[k + 1]]
                 first, last = spans[1][cut[k] : cut[k + 1]], spans[1][cut[k] : cut[k + 1]] + spans[2][cut[k] : cut[k + 1]] + length - 1
                 if waits[k]:
-                    row = (1, None, int(ids[k]), body.tobytes(), np.concatenate([first, last]).astype("<i8").tobytes(), None, None, None, None)
+                    row = (1, None, int(ids[k]), zstandard.compress(body.tobytes(), LEVEL), np.concatenate([first, last]).astype("<i8").tobytes(), None, None, None, None)
                 else:
                     n_removed, n_spans, kept = _without(body, first, last)
                     row = (0, None, int(ids[k]), kept if keep else None, None, len(body), n_removed, n_spans, hashlib.sha256(kept).hexdigest())
@@ -353,7 +354,7 @@ def _compare(length: int, n_buckets: int, keep: bool, sizes: Sizes):
             bucket, doc, a, nw = bucket[order], doc[sent][order], a[sent][order], nw[sent][order]
             edge = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
             for x, y in zip(edge[:-1], edge[1:], strict=True):
-                text = zstandard.compress(_gather(data, at[doc[x:y]] + a[x:y], nw[x:y] + length - 1).tobytes(), 1)
+                text = zstandard.compress(_gather(data, at[doc[x:y]] + a[x:y], nw[x:y] + length - 1).tobytes(), LEVEL)
                 row = (3, int(bucket[x]), None, text, _pack([ids[doc[x:y]], a[x:y], nw[x:y]], _PLACE), None, None, None, None)
                 for z, v in zip(out.values(), row, strict=True):
                     z.append(v)
@@ -457,14 +458,14 @@ def _cut(length: int, keep: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, at = flat(batch.column("body"))
+            bodies = [zstandard.decompress(b) for b in batch.column("body").to_pylist()]  # packed by ``_compare``
             lists = batch.column("late")
             sizes = np.where(np.asarray(lists.is_valid()), np.diff(np.asarray(lists.offsets)), 0) if len(lists) else np.zeros(0, np.int64)
             late, cut = lists.flatten(), np.concatenate([[0], np.cumsum(sizes)])
             late_a, late_nw = np.asarray(late.field("a")), np.asarray(late.field("nw"))
             out: list[list] = [[], [], [], [], []]
             for k, blob in enumerate(batch.column("blob").to_pylist()):
-                known, body, own = np.frombuffer(blob, "<i8").reshape(2, -1), data[at[k] : at[k + 1]], slice(cut[k], cut[k + 1])
+                known, body, own = np.frombuffer(blob, "<i8").reshape(2, -1), np.frombuffer(bodies[k], np.uint8), slice(cut[k], cut[k + 1])
                 first = np.concatenate([known[0], late_a[own]])
                 last = np.concatenate([known[1], late_a[own] + late_nw[own] + length - 1])
                 n_removed, n_spans, kept = _without(body, first, last)
