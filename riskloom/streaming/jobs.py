@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,9 +37,14 @@ def cdc_job(messages: DataFrame, features: str, dead_letters: str, checkpoint: s
     return start(messages, sink, checkpoint, **options)
 
 
+def live_change(found: Column, value: str = "value") -> Column:
+    """``found`` for changes that leave a row, NULL for deletes."""
+    return F.when(F.coalesce(cdc_op(value), F.lit("c")) != "d", found)
+
+
 def change_keys(messages: DataFrame, value: str = "value") -> DataFrame:
     """Customer ids of changes that leave a row: deletes are not enriched."""
-    live = messages.where(F.coalesce(cdc_op(value), F.lit("c")) != "d")
+    live = messages.where(live_change(F.lit(True), value))
     return live.select(cdc_key(value).alias("sk_id_curr")).where("sk_id_curr IS NOT NULL")
 
 

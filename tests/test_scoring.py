@@ -53,3 +53,38 @@ def test_sink_that_is_down(spark):
 def test_good_batch_is_written_once(spark):
     root, calls, read = delivered(spark, [])
     assert len(calls) == 1 and len(read(f"{root}/out", "id long")) == 40
+
+
+def test_named_rows_are_parted_in_one_pass(spark):
+    """However many rows are at fault, a sink that names them is called twice."""
+    root, calls = fresh_path(spark, "test-named"), []
+    reason = F.when(F.col("id") % 5 == 0, F.concat(F.lit("bad "), F.col("id")))
+
+    def sink(batch, batch_id):
+        calls.append(batch.where(reason.isNotNull()).count())
+        if calls[-1]:
+            raise store.RowsRefused(reason)
+        batch.write.mode("overwrite").parquet(f"{root}/out")
+
+    store.deliver_rows(sink, f"{root}/dead")(spark.range(0, 200, 1, 3), 5)
+    assert calls == [40, 0]
+    assert sorted(r["id"] for r in spark.read.parquet(f"{root}/out").collect()) == [k for k in range(200) if k % 5]
+    dead = spark.read.schema("id long, reason string").option("recursiveFileLookup", "true").parquet(f"{root}/dead").collect()
+    assert sorted(map(tuple, dead)) == [(k, f"bad {k}") for k in range(0, 200, 5)]
+
+
+def test_named_and_unnamed_faults(spark):
+    """Rows at fault that the sink does not name are still found, and parked with the named ones."""
+    root = fresh_path(spark, "test-both")
+    reason = F.when(F.col("id") == 7, F.lit("named"))
+
+    def sink(batch, batch_id):
+        if not batch.where(reason.isNotNull()).isEmpty():
+            raise store.RowsRefused(reason)
+        k = F.col("id")
+        batch.select(F.when(k == 11, F.raise_error(F.lit("unnamed"))).otherwise(k).cast("long").alias("id")).write.mode("overwrite").parquet(f"{root}/out")
+
+    store.deliver_rows(sink, f"{root}/dead", retries=0)(spark.range(0, 20, 1, 3), 5)
+    assert sorted(r["id"] for r in spark.read.parquet(f"{root}/out").collect()) == [k for k in range(20) if k not in (7, 11)]
+    dead = spark.read.schema("id long, reason string").option("recursiveFileLookup", "true").parquet(f"{root}/dead").collect()
+    assert sorted(r["id"] for r in dead) == [7, 11]
