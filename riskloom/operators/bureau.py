@@ -2,9 +2,8 @@
 
 The raw balance history is collapsed to one row per bureau record before it is
 joined, so both join sides are unique on SK_ID_BUREAU and a hot key cannot
-multiply. All 53 features then come from a single aggregate per customer; the
-only distinct count makes Spark aggregate by (customer, type) first, which also
-splits a hot customer.
+multiply. All 53 features then come from a single aggregate per customer, over
+records that move to their customer once.
 
 Two dialects exist because the batch mart and the stream job define a few
 features differently: ``batch`` follows SQL NULL rules, ``stream`` counts absent
@@ -17,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.numeric import col, flag, ratio, share, stats, sum_when, to_double, to_long
+from riskloom.operators.skew import aggregate_with_distinct
 
 KEY = "SK_ID_CURR"
 RECORD = "SK_ID_BUREAU"
@@ -67,12 +67,12 @@ def balance_per_record(balance: DataFrame, dialect: str = "batch") -> DataFrame:
     )
 
 
+TYPES = "BUREAU_CREDIT_TYPES_COUNT"
+
+
 def _risk(dialect: str) -> list[Column]:
     status = F.col("CREDIT_ACTIVE")
     n = F.count(F.lit(1))
-    types = F.count_distinct("CREDIT_TYPE")
-    if dialect == "stream":  # an absent type is a type of its own there
-        types = types + F.max(F.col("CREDIT_TYPE").isNull().cast("int"))
 
     def level(prefix: str, value: str) -> list[Column]:
         if dialect == "batch":
@@ -85,7 +85,6 @@ def _risk(dialect: str) -> list[Column]:
 
     return [
         n.alias("BUREAU_TOTAL_COUNT"),
-        types.alias("BUREAU_CREDIT_TYPES_COUNT"),
         *[
             F.count_if(status == value).alias(f"BUREAU_{value.upper().replace(' ', '_')}_COUNT")
             for value in ("Active", "Closed", "Bad debt", "Sold")
@@ -167,8 +166,18 @@ def _with_history(base: DataFrame, balance: DataFrame, dialect: str = "batch") -
     return base.join(balance_per_record(balance, dialect), RECORD, "left")
 
 
+def _with_types(rows: DataFrame, plain: list[Column], dialect: str = "batch") -> DataFrame:
+    """``plain`` aggregates per customer with the number of credit types behind the first of them."""
+    absent = F.max(F.col("CREDIT_TYPE").isNull().cast("int")).alias("_ABSENT")
+    out = aggregate_with_distinct(rows, KEY, [*plain, absent], {TYPES: "CREDIT_TYPE"})
+    if dialect == "stream":  # an absent type is a type of its own there
+        out = out.withColumn(TYPES, F.col(TYPES) + F.col("_ABSENT"))
+    names = out.drop(TYPES, "_ABSENT").columns
+    return out.select(*names[:2], TYPES, *names[2:])
+
+
 def bureau_risk(bureau: DataFrame) -> DataFrame:
-    return bureau_base(bureau).groupBy(KEY).agg(*_risk("batch"))
+    return _with_types(bureau_base(bureau), _risk("batch"))
 
 
 def bureau_advanced(bureau: DataFrame) -> DataFrame:
@@ -182,4 +191,4 @@ def bureau_balance_client(bureau: DataFrame, balance: DataFrame) -> DataFrame:
 def bureau_features(bureau: DataFrame, balance: DataFrame, dialect: str = "batch") -> DataFrame:
     """The 53 bureau features, one row per customer with bureau records."""
     joined = _with_history(bureau_base(bureau, dialect), balance, dialect)
-    return joined.groupBy(KEY).agg(*_risk(dialect), *_advanced(dialect), *_history(dialect))
+    return _with_types(joined, [*_risk(dialect), *_advanced(dialect), *_history(dialect)], dialect)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,16 +28,23 @@ def with_parts(df: DataFrame, key: str, max_rows: int, spread_by: list[str]) ->
 
 
 def aggregate_with_distinct(df: DataFrame, key: str, aggregates: list[Column], distinct: dict[str, str]) -> DataFrame:
-    """Plain aggregates and distinct counts (name -> column) per key, computed apart
-    and joined.
-
-    In one aggregate every distinct count would push a copy of each row through the
-    whole wide buffer. Apart, the wide side combines before its shuffle and the
-    distinct side moves only (key, value) pairs. Both sides group by a struct of the
-    key, which is equal to itself where the key is NULL, so a plain join on it finds
-    both sides partitioned and adds no shuffle.
+    """Plain aggregates and distinct counts (name -> column) per key, over rows that move once.
+
+    A wide buffer per key is larger than the few rows of a key that a task meets before a shuffle,
+    and a copy of each row per distinct count larger still. So the rows themselves are dealt
+    by the key; there each distinct count marks the first row of a value among its key's
+    rows, in order of (key, value), and one aggregate sums the marks beside the rest. All rows of a
+    key are read by one task, which sorts and adds them up without holding them. The result
+    stays dealt by the key, so a join on it moves nothing.
     """
-    whole = F.struct(key).alias("_key")
-    plain = df.groupBy(whole).agg(*aggregates)
-    kinds = df.groupBy(whole).agg(*[F.count_distinct(c).alias(n) for n, c in distinct.items()])
-    return plain.join(kinds, "_key").select(F.col("_key")[key].alias(key), *plain.columns[1:], *distinct)
+    rows = df.repartition(F.col(key))
+    for name, c in distinct.items():
+        nth = F.row_number().over(Window.partitionBy(key, c).orderBy(c))
+        rows = rows.withColumn(f"_{name}", F.col(c).isNotNull() & (nth == 1))
+    return rows.groupBy(key).agg(*aggregates, *[F.count_if(f"_{name}").alias(name) for name in distinct])
+
+
+def dealt(df: DataFrame, key: str, per_task: int = 250_000) -> DataFrame:
+    """``df`` dealt by ``key`` into as many partitions as give each about ``per_task`` rows, so that what a
+    task holds does not grow with the data. The rows are counted first."""
+    return df.repartition(max(1, -(-df.count() // per_task)), F.col(key))
