@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.numeric import col, ratio, share
 from riskloom.operators.quantiles import exact_quantiles
+from riskloom.operators.skew import dealt
 
 KEY = "SK_ID_CURR"
 
@@ -23,8 +24,10 @@ def value_counts(df: DataFrame, column: str, name: str = "count") -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(name)).orderBy(F.col(name).desc(), F.col(column))
 
 
-def loan_terms(pos: DataFrame) -> DataFrame:
-    return pos.select("SK_ID_PREV", "CNT_INSTALMENT").dropna().distinct()
+def loan_terms(pos: DataFrame, per_task: int = 250_000) -> DataFrame:
+    """Each (loan, instalment count) once. Few rows repeat, so they are dealt by the loan before
+    any is dropped: a task holds about ``per_task`` of them."""
+    return dealt(pos.select("SK_ID_PREV", "CNT_INSTALMENT").dropna(), "SK_ID_PREV", per_task).distinct()
 
 
 def term_category(instalments: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.operators import skew
+from riskloom.operators import reports, skew
 
 
 def test_rows_move_once_for_all_distinct_counts(spark):
@@ -18,3 +18,10 @@ def test_rows_move_once_for_all_distinct_counts(spark):
         g[2] |= {a} - {None}
         g[3].add(b)
     assert {r[0]: tuple(r[1:]) for r in out.collect()} == {k: (n, t, len(a), len(b)) for k, (n, t, a, b) in want.items()}
+
+
+def test_loan_terms_tasks_hold_few_rows(spark):
+    pos = spark.createDataFrame([(k % 40, float(k % 3)) for k in range(1000)] + [(None, 1.0), (1, None)], "SK_ID_PREV long, CNT_INSTALMENT double")
+    terms = reports.loan_terms(pos, per_task=100)
+    assert terms.rdd.getNumPartitions() == 10
+    assert sorted(map(tuple, terms.collect())) == sorted({(k % 40, float(k % 3)) for k in range(1000)})
